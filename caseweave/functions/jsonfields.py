@@ -2,26 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseweave import fixed_values as fv
 from caseweave.functions.text import trim_unicode
 
+# Output column and the JSON key it is read from.
+TRIAGE_KEYS = {"theme": "theme", "severity": "severity", "action": "suggested_action"}
+
 
-def scalar(json_text: Column, key: str) -> Column:
-    """Value of a top-level key as text; null if malformed, missing or not scalar.
+def with_scalars(df: DataFrame, json_col: str, keys: Mapping[str, str]) -> DataFrame:
+    """Add top-level JSON values as text; null if malformed, missing or not scalar.
 
-    Only values that look like an object or array pay for a second, typed parse.
+    The text is parsed once for all keys.  Only a value that looks like an
+    object or array pays for a second, typed parse.
     """
-    path = f"$.{key}"
-    raw = F.get_json_object(json_text, path)
+    parsed = df.withColumn(
+        "_parsed", F.from_json(json_col, ", ".join(f"`{key}` string" for key in keys.values()))
+    )
+    return parsed.withColumns(
+        {name: _scalar(F.col("_parsed")[key], json_col, key) for name, key in keys.items()}
+    ).drop("_parsed")
+
+
+def _scalar(value: Column, json_col: str, key: str) -> Column:
     kind = F.schema_of_variant(
-        F.try_variant_get(F.try_parse_json(json_text), path, "variant")
+        F.try_variant_get(F.try_parse_json(json_col), f"$.{key}", "variant")
+    )
+    nested = F.coalesce(kind.rlike("^(OBJECT|ARRAY)"), F.lit(False))
+    return F.when(value.rlike(r"\A[{\[]") & nested, F.lit(None)).otherwise(value)
+
+
+def with_triage_fields(df: DataFrame, json_col: str = "triage_result") -> DataFrame:
+    """Add ``theme``, ``severity`` and ``action``, trimmed; severity in lower case."""
+    return with_scalars(df, json_col, TRIAGE_KEYS).withColumns(
+        {
+            "theme": trim_unicode(F.col("theme")),
+            "severity": F.lower(trim_unicode(F.col("severity"))),
+            "action": trim_unicode(F.col("action")),
+        }
     )
-    nested = F.coalesce(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(False))
-    looks_nested = raw.startswith("{") | raw.startswith("[")
-    return F.when(looks_nested, F.when(~nested, raw)).otherwise(raw)
 
 
 def is_malformed(json_text: Column) -> Column:
@@ -29,14 +52,6 @@ def is_malformed(json_text: Column) -> Column:
     return json_text.isNotNull() & F.try_parse_json(json_text).isNull()
 
 
-def triage_fields(json_text: Column) -> dict[str, Column]:
-    return {
-        "theme": trim_unicode(scalar(json_text, "theme")),
-        "severity": F.lower(trim_unicode(scalar(json_text, "severity"))),
-        "action": trim_unicode(scalar(json_text, "suggested_action")),
-    }
-
-
 def normal_severity(
     severity: Column, known=fv.SEVERITIES, default: str = fv.DEFAULT_SEVERITY
 ) -> Column:

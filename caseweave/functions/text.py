@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,15 +30,30 @@ def is_present(text: Column) -> Column:
     return text.isNotNull() & (trim_unicode(text) != "")
 
 
+def _any_case(word: str) -> str:
+    """A word for use under ``(?i)``, with the two letters that fold to ASCII."""
+    return re.escape(word).replace("s", "[s\u017f]").replace("k", "[k\u212a]")
+
+
 def boilerplate_pattern(phrases=fv.BOILERPLATE_PHRASES) -> str:
     """One alternation for all phrases: the text is scanned once, not per phrase."""
     parts = []
     for phrase, starts_word in phrases:
-        words = [re.escape(w) for w in phrase.split(" ")]
+        words = [_any_case(w) for w in phrase.split(" ")]
         parts.append(
             _WORD_START + (_SPACE + "+").join(words) if starts_word else " ".join(words)
         )
-    return "(?iu)(?:" + "|".join(parts) + ")" + _TO_END
+    return "(?i)(?:" + "|".join(parts) + ")" + _TO_END
+
+
+def may_have_boilerplate(text: Column, phrases=fv.BOILERPLATE_PHRASES) -> Column:
+    """Cheap necessary condition: the longest sure piece of some phrase occurs.
+
+    Pieces avoid ``s`` and ``k``, which other characters fold to.
+    """
+    lowered = F.lower(text)
+    pieces = [max(re.split("[sk ]", phrase), key=len) for phrase, _ in phrases]
+    return reduce(Column.__or__, [F.contains(lowered, F.lit(piece)) for piece in pieces])
 
 
 def strip_boilerplate(text: Column, phrases=fv.BOILERPLATE_PHRASES) -> Column:
@@ -46,9 +62,8 @@ def strip_boilerplate(text: Column, phrases=fv.BOILERPLATE_PHRASES) -> Column:
 
 def flatten_spaces(text: Column) -> Column:
     """Turn ``_`` and ``-`` into blanks, collapse white space, trim."""
-    return trim_unicode(
-        F.regexp_replace(F.translate(text, "_-", "  "), _SPACE + "+", " ")
-    )
+    blanks = F.replace(F.replace(text, F.lit("_"), F.lit(" ")), F.lit("-"), F.lit(" "))
+    return trim_unicode(F.regexp_replace(blanks, _SPACE + "+", " "))
 
 
 def title_case(text: Column, delimiters: str = fv.TITLE_DELIMITERS) -> Column:
@@ -62,13 +77,31 @@ def title_case(text: Column, delimiters: str = fv.TITLE_DELIMITERS) -> Column:
     return F.replace(F.initcap(marked), F.lit(_MARK + " "), F.lit(""))
 
 
-def is_weak(flat_text: Column, min_length=fv.MIN_TEXT_LENGTH, stop=fv.STOP_TEXTS) -> Column:
-    """True for null, empty, too short and stop texts; never null."""
-    return (
-        flat_text.isNull()
-        | (F.length(flat_text) < min_length)
-        | F.lower(flat_text).isin(*stop)
-    )
+def weak_pattern(min_length=fv.MIN_TEXT_LENGTH, stop=fv.STOP_TEXTS) -> str:
+    """Whole texts that are too short or a stop text once flattened.
+
+    A run of blanks counts as one character and outer white space as none, so
+    the pattern reads the text as it stands and gives up after a few characters.
+    """
+    blank = r"[\t\n\f\r _\-]"
+    outer = "[_\\-" + fv.UNICODE_SPACES + "]*"
+    short = f"(?:{blank}+|[^\t\n\f\r _\\-]){{0,{min_length - 1}}}"
+    words = [
+        (blank + "+").join(
+            re.escape(part).replace("k", "[k\u212a]") for part in re.split("[ _-]+", word)
+        )
+        for word in stop
+    ]
+    return r"(?i)\A" + outer + "(?:" + "|".join([short, *words]) + ")" + outer + r"\z"
+
+
+def is_weak(text: Column, min_length=fv.MIN_TEXT_LENGTH, stop=fv.STOP_TEXTS) -> Column:
+    """True for null, empty, too short and stop texts, raw or flattened; never null.
+
+    The text occurs once in the expression, so pushing it into a filter does
+    not multiply the work.
+    """
+    return F.coalesce(text.rlike(weak_pattern(min_length, stop)), F.lit(True))
 
 
 def as_sentence(flat_text: Column) -> Column:

@@ -22,12 +22,19 @@ def prepare(
     still gets the placeholder.
     """
     raw = F.coalesce("request_details", "request_type")
-    staged = cases.select(
+    flagged = cases.select(
         "service_request_id",
         "request_type",
         "media_url",
+        raw.alias("_raw"),
         tx.flatten_spaces(raw).alias("text_norm"),
-        tx.flatten_spaces(tx.strip_boilerplate(raw, phrases)).alias("_body"),
+    )
+    # Few texts hold boilerplate; the others are flattened once for both uses.
+    raw = F.col("_raw")
+    stripped = tx.flatten_spaces(tx.strip_boilerplate(raw, phrases))
+    staged = flagged.withColumn(
+        "_body",
+        F.when(tx.may_have_boilerplate(raw, phrases), stripped).otherwise(F.col("text_norm")),
     )
     note = F.concat(
         F.lit("("),
@@ -42,8 +49,9 @@ def prepare(
         "media_url",
         "text_norm",
         tx.is_present(F.col("media_url")).alias("has_media"),
-        tx.is_weak(F.col("text_norm"), min_length, stop).alias("is_bad_text"),
-        F.when(body.isNotNull(), readable).alias("complaint_text"),
+        tx.is_weak(raw, min_length, stop).alias("is_bad_text"),
+        raw.isNotNull().alias("has_text"),
+        F.when(raw.isNotNull(), readable).alias("complaint_text"),
     )
 
 
@@ -51,11 +59,11 @@ def clean_text(cases: DataFrame, **settings) -> DataFrame:
     """Readable complaint text per case; cases without any text are dropped."""
     return (
         prepare(cases, **settings)
+        .filter("has_text")
         .select("service_request_id", "complaint_text")
-        .filter(F.col("complaint_text").isNotNull())
     )
 
 
 def text_quality(cases: DataFrame, **settings) -> DataFrame:
     """Flattened text, whether media is at hand and whether the text is unusable."""
-    return prepare(cases, **settings).drop("complaint_text")
+    return prepare(cases, **settings).drop("complaint_text", "has_text")

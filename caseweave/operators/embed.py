@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseweave.deploy import ensure_on_workers
-from caseweave.functions.jsonfields import scalar
+from caseweave.functions.jsonfields import with_scalars
 from caseweave.functions.nearest import hashed_counts
 from caseweave.functions.text import tokens, trim_unicode
 from caseweave.operators.infer import embed_content
@@ -30,7 +30,8 @@ def hashed_vector(text: Column, buckets: int = BUCKETS) -> Column:
             yield hashed_counts(batch, buckets)
 
     ensure_on_workers()
-    return count(tokens(text))
+    # Declared non-deterministic only so that filters above do not copy the call.
+    return count.asNondeterministic()(tokens(text))
 
 
 def embed_text(
@@ -49,19 +50,23 @@ def nonzero_buckets(df: DataFrame, key: str, vector: str = "embedding") -> DataF
 
 
 def query_texts(
-    triage: DataFrame, summaries: DataFrame, trim_theme: bool = False
+    triage: DataFrame, summaries: DataFrame | None = None, trim_theme: bool = False
 ) -> DataFrame:
-    """Cases to search for: theme from the triage answer ('' if none) and summary."""
-    theme = F.coalesce(scalar(F.col("triage_result"), "theme"), F.lit(""))
-    return (
-        triage.select("service_request_id", theme.alias("theme"))
-        .withColumn("theme", trim_unicode(F.col("theme")) if trim_theme else F.col("theme"))
-        .join(
-            summaries.filter(F.col("summary").isNotNull()).select(
-                "service_request_id", "summary"
-            ),
-            "service_request_id",
+    """Cases to search for: theme from the triage answer ('' if none) and summary.
+
+    With ``summaries`` the current summary is taken, otherwise the one the
+    triage row carries.
+    """
+    rows = with_scalars(triage, "triage_result", {"theme": "theme"})
+    if summaries is not None:
+        rows = rows.select("service_request_id", "theme").join(
+            summaries.select("service_request_id", "summary"), "service_request_id"
         )
+    theme = F.coalesce("theme", F.lit(""))
+    return rows.filter(F.col("summary").isNotNull()).select(
+        "service_request_id",
+        (trim_unicode(theme) if trim_theme else theme).alias("theme"),
+        "summary",
     )
 
 

@@ -134,14 +134,26 @@ def outcome_counts(results: DataFrame) -> DataFrame:
 # --- a model made of column expressions -------------------------------------
 
 
-def keyword_theme(text: Column, rules: Sequence[tuple[str, Sequence[str]]], default: str) -> Column:
-    """Theme of the first rule one of whose words occurs in the text."""
-    words = tokens(text)
+def with_keyword_theme(
+    df: DataFrame,
+    text_col: str,
+    rules: Sequence[tuple[str, Sequence[str]]],
+    default: str = "",
+    into: str = "theme",
+) -> DataFrame:
+    """Add the theme of the first rule one of whose words occurs in the text.
+
+    The text is split once; the rules share its words.
+    """
+    words = F.col("_words")
     theme: Column | None = None
     for label, keywords in rules:
         hit = F.arrays_overlap(words, F.array(*[F.lit(w) for w in keywords]))
         theme = F.when(hit, F.lit(label)) if theme is None else theme.when(hit, F.lit(label))
-    return F.lit(default) if theme is None else theme.otherwise(F.lit(default))
+    theme = F.lit(default) if theme is None else theme.otherwise(F.lit(default))
+    return (
+        df.withColumn("_words", tokens(F.col(text_col))).withColumn(into, theme).drop("_words")
+    )
 
 
 def theme_rules(themes=fv.PROMPT_THEMES) -> list[tuple[str, list[str]]]:
@@ -158,8 +170,11 @@ def triage_rules(
 ) -> DataFrame:
     """Deterministic stand-in for the triage model, wholly inside the JVM."""
     summary = F.col("summary")
-    labelled = summaries.filter(summary.isNotNull()).withColumn(
-        "theme", keyword_theme(summary, theme_rules() if rules is None else rules, default)
+    labelled = with_keyword_theme(
+        summaries.filter(summary.isNotNull()),
+        "summary",
+        theme_rules() if rules is None else rules,
+        default,
     )
     severity = (
         F.when(F.length(summary) > urgent_length, F.lit("high"))

@@ -37,27 +37,30 @@ def best_overall(
     return _best(unmatched(candidates, matched), max_distance)
 
 
-def _within(candidate: Column, max_distance: float) -> Column:
-    return F.when(candidate["distance"] <= max_distance, candidate)
-
-
-def pick(theme: Column, candidates: Column, max_distance: float = fv.MAX_DISTANCE) -> Column:
-    """The tiers as one expression over a sorted candidate array: no shuffle."""
-    same = F.filter(candidates, lambda c: F.lower(c["base_label"]) == F.lower(theme))
-    precise = _within(F.get(same, F.lit(0)), max_distance)
-    overall = _within(F.get(candidates, F.lit(0)), max_distance)
+def with_match(
+    found: DataFrame, max_distance: float = fv.MAX_DISTANCE, into: str = "match"
+) -> DataFrame:
+    """Both tiers as expressions over the sorted candidate array: no shuffle."""
+    theme, near = F.lower("theme"), F.col("candidates")
+    same = F.filter(near, lambda c: F.lower(c["base_label"]) == theme)
+    staged = found.withColumn("_same", F.get(same, F.lit(0))).withColumn(
+        "_any", F.get(near, F.lit(0))
+    )
 
-    def tiered(candidate: Column, tier: str) -> Column:
+    def tier(candidate: str, name: str) -> Column:
+        c = F.col(candidate)
         return F.when(
-            candidate.isNotNull(),
+            c["distance"] <= max_distance,
             F.struct(
-                candidate["base_id"].alias("policy_id"),
-                candidate["distance"].alias("cosine_distance"),
-                F.lit(tier).alias("tier"),
+                c["base_id"].alias("policy_id"),
+                c["distance"].alias("cosine_distance"),
+                F.lit(name).alias("tier"),
             ),
         )
 
-    return F.coalesce(tiered(precise, "precise"), tiered(overall, "global"))
+    return staged.withColumn(
+        into, F.coalesce(tier("_same", "precise"), tier("_any", "global"))
+    ).drop("_same", "_any")
 
 
 def tiered_match(
@@ -74,11 +77,11 @@ def tiered_match(
     """
     found = nearest(queries, catalog, k, base_label="target_theme", **settings)
     chosen = (
-        found.withColumn("_match", pick(F.col("theme"), F.col("candidates"), max_distance))
-        .filter(F.col("_match").isNotNull())
+        with_match(found, max_distance)
+        .filter(F.col("match").isNotNull())
         .select(
             "service_request_id", F.col("theme").alias("case_theme"), "summary",
-            "_match.policy_id", "_match.cosine_distance", "_match.tier",
+            "match.policy_id", "match.cosine_distance", "match.tier",
         )
     )
     return with_policy(chosen, catalog).select(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseweave import fixed_values as fv
-from caseweave.functions.jsonfields import triage_fields
+from caseweave.functions.jsonfields import with_triage_fields
 from caseweave.functions.text import first_word
 from caseweave.operators.infer import Model, batch_infer, refine_prompt
 from caseweave.operators.worklist import pending, work_batch
@@ -15,28 +15,29 @@ from caseweave.sinks import tables
 
 def refine_prep(
     triage: DataFrame,
-    summaries: DataFrame,
+    summaries: DataFrame | None,
     matches: DataFrame,
     done: DataFrame,
     batch_size: int | None = fv.REFINE_BATCH,
 ) -> DataFrame:
     """Triage fields and matched policy of the cases not refined yet.
 
-    Done cases leave first, so they are not parsed or joined at all.
+    Done cases leave first, so they are not parsed or joined at all.  With
+    ``summaries`` the current summary is taken, with ``None`` the one the triage
+    row carries, which saves shuffling all texts once more.
     ``batch_size=None`` takes everything that is open in one run.
     """
-    open_rows = pending(triage.select("service_request_id", "triage_result"), done)
-    fields = triage_fields(F.col("triage_result"))
-    todo = (
-        open_rows.join(
+    open_rows = pending(triage, done)
+    if summaries is not None:
+        open_rows = open_rows.select("service_request_id", "triage_result").join(
             summaries.select("service_request_id", "summary", "summary_source"),
             "service_request_id",
         )
+    todo = (
+        with_triage_fields(open_rows)
         .select(
-            "service_request_id", "summary", "summary_source",
-            fields["theme"].alias("theme"),
-            fields["severity"].alias("severity"),
-            fields["action"].alias("original_action"),
+            "service_request_id", "summary", "summary_source", "theme", "severity",
+            F.col("action").alias("original_action"),
         )
         .join(
             matches.select("service_request_id", "policy_title", "policy_snippet", "source_url"),

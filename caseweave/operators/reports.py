@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseweave import fixed_values as fv
-from caseweave.functions.jsonfields import is_malformed, normal_severity, triage_fields
+from caseweave.functions.jsonfields import is_malformed, normal_severity, with_triage_fields
 from caseweave.operators.topn import top_n
 
 
@@ -31,12 +31,10 @@ def proto_pool(summaries: DataFrame, triage: DataFrame, matches: DataFrame) -> D
 
 
 def parse_pool(pool: DataFrame) -> DataFrame:
-    fields = triage_fields(F.col("tri_obj"))
-    return pool.select(
-        "service_request_id", "summary", "summary_source",
-        fields["theme"].alias("theme"),
-        normal_severity(fields["severity"]).alias("severity"),
-        fields["action"].alias("suggested_action"),
+    return with_triage_fields(pool, "tri_obj").select(
+        "service_request_id", "summary", "summary_source", "theme",
+        normal_severity(F.col("severity")).alias("severity"),
+        F.col("action").alias("suggested_action"),
         "policy_matched", "policy_title", "target_theme", "source_url", "cosine_distance",
     )
 

@@ -98,7 +98,8 @@ def _in_place(queries, base, k, query_on, compare, into) -> DataFrame:
         for batch in batches:
             yield top_candidates(block, batch, k)
 
-    return queries.withColumn(into, find(F.col(query_on)))
+    # Declared non-deterministic only so that filters above do not copy the call.
+    return queries.withColumn(into, find.asNondeterministic()(F.col(query_on)))
 
 
 def _by_cells(

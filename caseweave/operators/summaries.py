@@ -23,9 +23,8 @@ def text_source_of_prepared(
     Cases without any text drop out even when a photo could speak for them;
     ``keep_null_text`` keeps them.  Without a cohort every case is taken.
     """
-    rows = prepared.select("service_request_id", "complaint_text", "is_bad_text")
-    if not keep_null_text:
-        rows = rows.filter(F.col("complaint_text").isNotNull())
+    rows = prepared if keep_null_text else prepared.filter("has_text")
+    rows = rows.select("service_request_id", "complaint_text", "is_bad_text")
     if cohort is None:
         return rows
     return rows.join(cohort.select("service_request_id"), "service_request_id")

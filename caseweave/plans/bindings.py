@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from caseweave.functions.text import first_group
 from caseweave.operators import catalog, clean, cohort, embed, match, refine, search, summaries
-from caseweave.operators.infer import keyword_theme
+from caseweave.operators.infer import with_keyword_theme
 from caseweave.sources.requests import normalise_requests
 
 # Themes of the synthetic texts by the words that occur in them, first hit wins.
@@ -26,7 +26,7 @@ THEME_RULES = (
     ("theme_with", ("with", "as")),
     ("theme_in", ("in", "the")),
 )
-TEXT_MAX_DISTANCE = 0.20
+TEXT_MAX_DISTANCE = 0.25
 VECTOR_MAX_DISTANCE = 0.75
 COHORT_SIZE = 200
 SEED = 42
@@ -114,12 +114,12 @@ class Bindings:
 
     @cached_property
     def photo_summaries(self) -> DataFrame:
-        """Photos summarised so far: half of the fallback cases, by page title."""
+        """Photos summarised so far: every other page, by its title."""
         done = self.table("pages").filter(F.col("page_id") % 2 == 0)
         return done.select(
             F.col("page_id").cast("string").alias("service_request_id"),
             page_title(F.col("html")).alias("summary_text"),
-        ).join(self.fallback, "service_request_id", "left_semi")
+        )
 
     # --- summaries and triage -----------------------------------------------
 
@@ -141,12 +141,13 @@ class Bindings:
         )
         cut = F.col("service_request_id").cast("long") % 11 == 0
         answer = F.concat(
-            F.lit('{"theme":" '), keyword_theme(summary, THEME_RULES, ""),
+            F.lit('{"theme":" '), F.col("theme"),
             F.lit('","severity":"'), severity,
             F.lit('","suggested_action":"Check '), source, F.lit(' case now."'),
             F.when(cut, F.lit("")).otherwise(F.lit("}")),
         )
-        return self.summaries.filter(summary.isNotNull()).select(
+        summarised = self.summaries.filter(summary.isNotNull())
+        return with_keyword_theme(summarised, "summary", THEME_RULES).select(
             "service_request_id", "summary", "summary_source",
             answer.alias("triage_result"),
             F.when(cut, F.lit("truncated")).otherwise(F.lit("")).alias("status"),
@@ -157,12 +158,15 @@ class Bindings:
     @cached_property
     def policies(self) -> DataFrame:
         text = F.col("text")
-        return self.table("benchmark").select(
+        themed = with_keyword_theme(
+            self.table("benchmark"), "text", THEME_RULES, into="target_theme"
+        )
+        return themed.select(
             F.concat(F.lit("P"), F.col("item_id").cast("string")).alias("policy_id"),
             F.substring_index(text, " ", 2).alias("title"),
             text.alias("chunk_text"),
             F.concat(F.lit("doc://P"), F.col("item_id").cast("string")).alias("source_url"),
-            keyword_theme(text, THEME_RULES, "").alias("target_theme"),
+            "target_theme",
         )
 
     @cached_property
@@ -172,7 +176,7 @@ class Bindings:
     @cached_property
     def case_queries(self) -> DataFrame:
         # The stand-in pads the theme, so it is trimmed here.
-        return embed.query_texts(self.triage, self.summaries, trim_theme=True)
+        return embed.query_texts(self.triage, trim_theme=True)
 
     @cached_property
     def case_vectors(self) -> DataFrame:
@@ -223,7 +227,7 @@ class Bindings:
     @cached_property
     def refine_todo(self) -> DataFrame:
         return refine.refine_prep(
-            self.triage, self.summaries, self.matches, self.refined_before, batch_size=None
+            self.triage, None, self.matches, self.refined_before, batch_size=None
         )
 
     @cached_property

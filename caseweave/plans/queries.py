@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseweave.functions.jsonfields import normal_severity, triage_fields
+from caseweave.functions.jsonfields import normal_severity, with_triage_fields
 from caseweave.functions.text import first_group, tokens
 from caseweave.operators import (
     catalog,
@@ -161,14 +161,13 @@ def outcome_counts(t):
 
 @query
 def json_extract(t):
-    fields = triage_fields(F.col("triage_result"))
-    return t.event_answers.select("event_id", *[c.alias(n) for n, c in fields.items()])
+    return with_triage_fields(t.event_answers).drop("triage_result")
 
 
 @query
 def severity_normalise(t):
-    severity = triage_fields(F.col("triage_result"))["severity"]
-    return t.event_answers.select("event_id", normal_severity(severity).alias("severity"))
+    fields = with_triage_fields(t.event_answers)
+    return fields.select("event_id", normal_severity(F.col("severity")).alias("severity"))
 
 
 @query
@@ -303,7 +302,9 @@ def case_matches(t):
 
 @query
 def refine_prep(t):
-    return t.refine_todo
+    return refine.refine_prep(
+        t.triage, t.summaries, t.matches, t.refined_before, batch_size=None
+    )
 
 
 @query
