@@ -21,11 +21,9 @@ from caseweave.operators.lookup import lookup
 from caseweave.operators.worklist import pending
 from caseweave.sinks.staging import stage
 
-Answer = tuple[str | None, str]
+Answer = tuple[str | None, str | None]
 Model = Callable[[list[str]], Sequence[Answer]]
 
-ANSWERS = "prompt_hash string, uses bigint, result string, status string"
-
 
 # --- prompts ----------------------------------------------------------------
 
@@ -67,33 +65,40 @@ def distinct_prompts(keyed: DataFrame) -> DataFrame:
     )
 
 
-def ask(prompts: DataFrame, model: Model) -> DataFrame:
-    """Answer every row once; a failing batch yields null results and its error."""
+def _answers(model: Model, prompts: list[str | None]) -> list[Answer]:
+    """One answer per prompt, none for a null; an error becomes the status."""
+    sent = [p for p in prompts if p is not None]
+    try:
+        answers = list(model(sent)) if sent else []
+    except Exception as error:  # the status column reports it; the job goes on
+        answers = [(None, f"error: {type(error).__name__}")] * len(sent)
+    if len(answers) != len(sent):
+        raise ValueError("a model must return one answer per prompt")
+    answered = iter(answers)
+    return [(None, None) if p is None else next(answered) for p in prompts]
+
+
+def ask(rows: DataFrame, prompt_col: str, model: Model) -> DataFrame:
+    """Replace the prompt by ``result`` and ``status``, row by row and in place.
 
-    def answer(prompts_in_batch: list[str]) -> list[Answer]:
-        try:
-            answers = list(model(prompts_in_batch))
-        except Exception as error:  # the status column reports it; the job goes on
-            return [(None, f"error: {type(error).__name__}")] * len(prompts_in_batch)
-        if len(answers) != len(prompts_in_batch):
-            raise ValueError("a model must return one answer per prompt")
-        return answers
+    Only the prompts cross to Python.
+    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<result:string,status:string>")
+    def call(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            answers = answer(batch.column("prompt").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("prompt_hash"),
-                    batch.column("uses"),
-                    pa.array([a[0] for a in answers], pa.string()),
-                    pa.array([a[1] for a in answers], pa.string()),
-                ],
-                names=["prompt_hash", "uses", "result", "status"],
+            answers = _answers(model, batch.to_pylist())
+            yield pa.StructArray.from_arrays(
+                [pa.array([a[i] for a in answers], pa.string()) for i in (0, 1)],
+                names=["result", "status"],
             )
 
-    ensure_on_workers(prompts.sparkSession)
-    return prompts.select("prompt_hash", "uses", "prompt").mapInArrow(run, ANSWERS)
+    ensure_on_workers(rows.sparkSession)
+    # A model may answer differently each time: never copy or repeat the call.
+    answered = rows.withColumn("_answer", call.asNondeterministic()(F.col(prompt_col)))
+    return answered.select(
+        *[c for c in rows.columns if c != prompt_col], "_answer.result", "_answer.status"
+    )
 
 
 def batch_infer(
@@ -102,23 +107,31 @@ def batch_infer(
     model: Model,
     key: str = "service_request_id",
     cache: DataFrame | None = None,
+    shared_prompts: bool = True,
 ) -> DataFrame:
     """Add ``prompt_hash``, ``result`` and ``status`` to every row.
 
     Rows with a null prompt are not sent and get a null result.  ``cache`` holds
     earlier answers (``prompt_hash, result, status``).  Answers are staged
-    before they are joined back, so a lost executor never asks the model again.
+    before they are used, so a lost executor never asks the model again.
+
+    ``shared_prompts=False`` is for prompts that differ in every row, say by an
+    id they contain: nothing is shuffled, each row is answered where it is.
     """
     keyed = todo.withColumn("_prompt", prompt).withColumn(
         "prompt_hash", prompt_hash(F.col("_prompt"))
     )
+    if not shared_prompts:
+        if cache is not None:
+            raise ValueError("a cache needs shared_prompts")
+        return stage(ask(keyed, "_prompt", model), "answers")
     asked = keyed.filter(F.col("_prompt").isNotNull())
     prompts = distinct_prompts(asked.select("prompt_hash", F.col("_prompt").alias("prompt")))
     if cache is None:
-        answers = stage(ask(prompts, model), "answers")
+        answers = stage(ask(prompts, "prompt", model), "answers")
     else:
         known = cache.select("prompt_hash", "result", "status")
-        fresh = ask(pending(prompts, known, "prompt_hash"), model)
+        fresh = ask(pending(prompts, known, "prompt_hash"), "prompt", model)
         reused = prompts.select("prompt_hash", "uses").join(known, "prompt_hash")
         answers = stage(fresh.unionByName(reused), "answers")
     back = lookup(asked.drop("_prompt"), answers, "prompt_hash", "uses", key)

@@ -16,6 +16,7 @@ from caseweave.functions.text import first_group
 from caseweave.operators import catalog, clean, cohort, embed, match, refine, search, summaries
 from caseweave.operators.infer import with_keyword_theme
 from caseweave.sources.requests import normalise_requests
+from caseweave.sources.tables import read_table
 
 # Themes of the synthetic texts by the words that occur in them, first hit wins.
 THEME_RULES = (
@@ -38,7 +39,7 @@ class Bindings:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return read_table(self.spark, f"{self.folder}/{name}.parquet")
 
     # --- requests -----------------------------------------------------------
 
@@ -114,8 +115,8 @@ class Bindings:
 
     @cached_property
     def photo_summaries(self) -> DataFrame:
-        """Photos summarised so far: every other page, by its title."""
-        done = self.table("pages").filter(F.col("page_id") % 2 == 0)
+        """Photos summarised so far: the pages served over https, by their title."""
+        done = self.table("pages").filter(F.col("url").startswith("https:"))
         return done.select(
             F.col("page_id").cast("string").alias("service_request_id"),
             page_title(F.col("html")).alias("summary_text"),

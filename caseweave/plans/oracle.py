@@ -209,7 +209,7 @@ DATASETS: dict[str, str] = {
     "photo_summaries": r"""
       SELECT CAST(page_id AS VARCHAR) AS service_request_id,
         nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS summary_text
-      FROM pages WHERE page_id % 2 = 0""",
+      FROM pages WHERE starts_with(url, 'https:')""",
     "looked_up": r"""
       SELECT uri, service_request_id FROM (
         SELECT uri, nullif(regexp_extract(uri, '(\d+)\.jpg$', 1), '') AS service_request_id
