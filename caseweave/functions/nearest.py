@@ -6,6 +6,9 @@ Arrow batch and one bounded block at a time.
 
 from __future__ import annotations
 
+import hashlib
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -109,19 +112,10 @@ def top_candidates(block, batch: pa.Array, k: int) -> pa.Array:
 
 def hashed_counts(batch: pa.Array, buckets: int) -> pa.Array:
     """Token lists to term counts per md5 bucket; null lists stay null."""
-    import hashlib
-
     batch = _one_array(batch)
     rows, coded, vocabulary = _codes(batch)
-    bucket = np.fromiter(
-        (
-            int(hashlib.md5(t.encode()).hexdigest()[:4], 16) % buckets
-            for t in vocabulary.to_pylist()
-        ),
-        dtype=np.int64,
-        count=len(vocabulary),
-    )
-    cells = rows * buckets + (bucket[coded] if len(coded) else coded)
+    heads = np.fromiter(map(_md5_head, vocabulary.to_pylist()), np.int64, len(vocabulary))
+    cells = rows * buckets + (heads % buckets)[coded]
     counts = np.bincount(cells, minlength=len(batch) * buckets).astype(np.float32)
     offsets = np.arange(len(batch) + 1, dtype=np.int32) * buckets
     return pa.ListArray.from_arrays(
@@ -129,6 +123,12 @@ def hashed_counts(batch: pa.Array, buckets: int) -> pa.Array:
     )
 
 
+@lru_cache(maxsize=1 << 17)
+def _md5_head(token: str) -> int:
+    """First 16 bits of the token's md5; frequent tokens are hashed once per worker."""
+    return int.from_bytes(hashlib.md5(token.encode()).digest()[:2], "big")
+
+
 def _one_array(batch) -> pa.Array:
     return batch.combine_chunks() if isinstance(batch, pa.ChunkedArray) else batch
 

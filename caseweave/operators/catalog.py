@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseweave.functions.text import trim_unicode
-from caseweave.operators.embed import BUCKETS, embed_text
+from caseweave.operators.embed import Embedder, embed_text, hashed_vector
 
 
 def normalise_chunks(policies: DataFrame) -> DataFrame:
@@ -15,14 +15,14 @@ def normalise_chunks(policies: DataFrame) -> DataFrame:
     )
 
 
-def embed_chunks(policies: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def embed_chunks(policies: DataFrame, embedder: Embedder = hashed_vector) -> DataFrame:
     """Policies with the vector of their text as written (used for search)."""
-    return embed_text(policies, "chunk_text", buckets=buckets)
+    return embed_text(policies, "chunk_text", embedder=embedder)
 
 
-def embed_normalised(policies: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def embed_normalised(policies: DataFrame, embedder: Embedder = hashed_vector) -> DataFrame:
     """Id, normalised text and its vector (used for the catalog)."""
-    return embed_text(normalise_chunks(policies), "content", buckets=buckets)
+    return embed_text(normalise_chunks(policies), "content", embedder=embedder)
 
 
 def policy_catalog(policies: DataFrame, vectors: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -16,6 +16,9 @@ from caseweave.operators.infer import embed_content
 
 BUCKETS = 64
 
+# A text column to a vector column.
+Embedder = Callable[[Column], Column]
+
 
 def hashed_vector(text: Column, buckets: int = BUCKETS) -> Column:
     """Term counts per md5 bucket of the whole text.
@@ -34,10 +37,32 @@ def hashed_vector(text: Column, buckets: int = BUCKETS) -> Column:
     return count.asNondeterministic()(tokens(text))
 
 
+def model_vector(
+    model: Callable[[list[str]], Sequence[Sequence[float] | None]],
+) -> Embedder:
+    """Vectors from an outside model: a callable that embeds a list of texts."""
+
+    @F.arrow_udf("array<float>")
+    def call(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            texts = batch.to_pylist()
+            sent = [t for t in texts if t is not None]
+            vectors = iter(model(sent) if sent else [])
+            yield pa.array(
+                [None if t is None else next(vectors) for t in texts], pa.list_(pa.float32())
+            )
+
+    def vector(text: Column) -> Column:
+        ensure_on_workers()
+        return call.asNondeterministic()(text)
+
+    return vector
+
+
 def embed_text(
-    df: DataFrame, text_col: str, into: str = "embedding", buckets: int = BUCKETS
+    df: DataFrame, text_col: str, into: str = "embedding", embedder: Embedder = hashed_vector
 ) -> DataFrame:
-    return df.withColumn(into, hashed_vector(F.col(text_col), buckets))
+    return df.withColumn(into, embedder(F.col(text_col)))
 
 
 def nonzero_buckets(df: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
@@ -57,19 +82,23 @@ def query_texts(
     With ``summaries`` the current summary is taken, otherwise the one the
     triage row carries.
     """
-    rows = with_scalars(triage, "triage_result", {"theme": "theme"})
+    rows = search_theme(triage, trim_theme)
     if summaries is not None:
         rows = rows.select("service_request_id", "theme").join(
             summaries.select("service_request_id", "summary"), "service_request_id"
         )
-    theme = F.coalesce("theme", F.lit(""))
     return rows.filter(F.col("summary").isNotNull()).select(
-        "service_request_id",
-        (trim_unicode(theme) if trim_theme else theme).alias("theme"),
-        "summary",
+        "service_request_id", "theme", "summary"
     )
 
 
-def embed_cases(queries: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def search_theme(triage: DataFrame, trim: bool = False) -> DataFrame:
+    """Add the theme of the triage answer, empty when there is none."""
+    rows = with_scalars(triage, "triage_result", {"theme": "theme"})
+    theme = F.coalesce("theme", F.lit(""))
+    return rows.withColumn("theme", trim_unicode(theme) if trim else theme)
+
+
+def embed_cases(queries: DataFrame, embedder: Embedder = hashed_vector) -> DataFrame:
     """Vector of theme and summary together."""
-    return queries.withColumn("embedding", hashed_vector(embed_content(), buckets))
+    return queries.withColumn("embedding", embedder(embed_content()))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseweave import fixed_values as fv
+from caseweave.operators.embed import Embedder, embed_cases, hashed_vector, search_theme
 from caseweave.operators.search import nearest, with_policy
 from caseweave.operators.worklist import absent
 
@@ -88,3 +89,38 @@ def tiered_match(
         "service_request_id", "case_theme", "summary", "policy_id", "policy_title",
         "policy_snippet", "target_theme", "source_url", "cosine_distance", "tier",
     )
+
+
+def matched_rows(
+    embedded: DataFrame,
+    catalog: DataFrame,
+    max_distance: float = fv.MAX_DISTANCE,
+    k: int = fv.NEIGHBOURS,
+    **settings,
+) -> DataFrame:
+    """Every embedded triage row with its policy, if it has one.
+
+    Search and both tiers happen in the row, and a catalog within the broadcast
+    bound is looked up there too, so rows need no shuffle to meet their match.
+    """
+    found = nearest(embedded, catalog, k, base_label="target_theme", **settings)
+    rows = with_match(found, max_distance).select(
+        *[c for c in embedded.columns if c not in ("theme", "embedding")],
+        "match.policy_id", "match.cosine_distance",
+        F.col("match").isNotNull().alias("policy_matched"),
+    )
+    return with_policy(rows, catalog, how="left")
+
+
+def matched_triage(
+    triage: DataFrame,
+    catalog: DataFrame,
+    max_distance: float = fv.MAX_DISTANCE,
+    k: int = fv.NEIGHBOURS,
+    trim_theme: bool = False,
+    embedder: Embedder = hashed_vector,
+    **settings,
+) -> DataFrame:
+    """Embed triage rows and match them, all in place."""
+    embedded = embed_cases(search_theme(triage, trim_theme), embedder)
+    return matched_rows(embedded, catalog, max_distance, k, **settings)

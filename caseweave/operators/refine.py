@@ -48,6 +48,18 @@ def refine_prep(
     return todo if batch_size is None else work_batch(todo, batch_size)
 
 
+def refine_matched(
+    matched: DataFrame, batch_size: int | None = fv.REFINE_BATCH
+) -> DataFrame:
+    """As ``refine_prep`` for open triage rows that carry their summary and policy."""
+    todo = with_triage_fields(matched).select(
+        "service_request_id", "summary", "summary_source", "theme", "severity",
+        F.col("action").alias("original_action"),
+        "policy_title", "policy_snippet", "source_url",
+    )
+    return todo if batch_size is None else work_batch(todo, batch_size)
+
+
 def alignment_flag(action: Column, title: Column, regex: bool = False) -> Column:
     """``aligned`` when the first title word occurs in the action, else ``review``.
 

@@ -30,6 +30,17 @@ def proto_pool(summaries: DataFrame, triage: DataFrame, matches: DataFrame) -> D
     )
 
 
+def pool_of_matched(summaries: DataFrame, matched: DataFrame) -> DataFrame:
+    """As ``proto_pool`` for triage rows that carry their match: one join."""
+    answers = matched.select(
+        "service_request_id", F.col("triage_result").alias("tri_obj"),
+        "policy_title", "target_theme", "source_url", "cosine_distance", "policy_matched",
+    )
+    return summaries.join(answers, "service_request_id", "left").withColumn(
+        "policy_matched", F.coalesce("policy_matched", F.lit(False))
+    )
+
+
 def parse_pool(pool: DataFrame) -> DataFrame:
     return with_triage_fields(pool, "tri_obj").select(
         "service_request_id", "summary", "summary_source", "theme",

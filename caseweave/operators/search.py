@@ -180,17 +180,27 @@ def vector_topk(
     )
 
 
-def with_policy(rows: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Policy text by id.  One policy may win a large share of all rows, so the
-    join side is left to Spark: it broadcasts a small catalog by its measured
-    size and splits hot ids of a large one."""
-    return rows.join(
-        catalog.select(
-            F.col("policy_id").cast("string").alias("policy_id"),
-            F.col("title").alias("policy_title"),
-            F.col("chunk_text").alias("policy_snippet"),
-            "target_theme",
-            "source_url",
-        ),
-        "policy_id",
+def with_policy(
+    rows: DataFrame,
+    catalog: DataFrame,
+    how: str = "inner",
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Policy text by id.
+
+    One policy may win a large share of all rows, so a catalog whose texts
+    measure below the bound is broadcast and the rows stay where they are.  A
+    larger one is joined by a shuffle in which adaptive execution splits the
+    partitions of hot ids.
+    """
+    texts = catalog.select(
+        F.col("policy_id").cast("string").alias("policy_id"),
+        F.col("title").alias("policy_title"),
+        F.col("chunk_text").alias("policy_snippet"),
+        "target_theme",
+        "source_url",
     )
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts.columns), F.lit(0))
+    size = texts.agg(F.sum(width)).first()[0] or 0
+    small = size <= max_broadcast_bytes
+    return rows.join(F.broadcast(texts) if small else texts, "policy_id", how)

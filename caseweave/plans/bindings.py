@@ -13,7 +13,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseweave.functions.text import first_group
-from caseweave.operators import catalog, clean, cohort, embed, match, refine, search, summaries
+from caseweave.operators import (
+    catalog,
+    clean,
+    cohort,
+    embed,
+    match,
+    refine,
+    reports,
+    search,
+    summaries,
+    worklist,
+)
 from caseweave.operators.infer import with_keyword_theme
 from caseweave.sources.requests import normalise_requests
 from caseweave.sources.tables import read_table
@@ -33,13 +44,25 @@ COHORT_SIZE = 200
 SEED = 42
 
 
+SCHEMAS = {
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+    "props string",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "pages": "page_id long, url string, html string",
+    "benchmark": "item_id long, text string",
+    "labels": "doc_id long, quality int, toxic int",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
+
+
 class Bindings:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.folder}/{name}.parquet")
+        return read_table(self.spark, f"{self.folder}/{name}.parquet", SCHEMAS[name])
 
     # --- requests -----------------------------------------------------------
 
@@ -183,6 +206,12 @@ class Bindings:
     def case_vectors(self) -> DataFrame:
         return embed.embed_cases(self.case_queries)
 
+    @cached_property
+    def matched(self) -> DataFrame:
+        return match.matched_triage(
+            self.triage, self.policy_vectors, TEXT_MAX_DISTANCE, trim_theme=True
+        )
+
     @cached_property
     def matches(self) -> DataFrame:
         return match.tiered_match(self.case_vectors, self.policy_vectors, TEXT_MAX_DISTANCE)
@@ -227,9 +256,16 @@ class Bindings:
 
     @cached_property
     def refine_todo(self) -> DataFrame:
-        return refine.refine_prep(
-            self.triage, None, self.matches, self.refined_before, batch_size=None
+        """Done cases leave before the search, so only open ones are matched."""
+        open_rows = worklist.pending(self.triage, self.refined_before)
+        matched = match.matched_triage(
+            open_rows, self.policy_vectors, TEXT_MAX_DISTANCE, trim_theme=True
         )
+        return refine.refine_matched(matched, batch_size=None)
+
+    @cached_property
+    def pool(self) -> DataFrame:
+        return reports.parse_pool(reports.pool_of_matched(self.summaries, self.matched))
 
     @cached_property
     def refined(self) -> DataFrame:

@@ -32,11 +32,13 @@ from caseweave.sources.requests import normalise_requests
 
 @dataclass(frozen=True)
 class Models:
-    """Callables that answer a list of prompts with (result, status) pairs."""
+    """Callables that answer a list of prompts with (result, status) pairs, and
+    the embedder of texts."""
 
     photo: Model
     triage: Model
     refine: Model
+    embed: embed.Embedder = embed.hashed_vector
 
 
 @dataclass(frozen=True)
@@ -138,39 +140,45 @@ class Job:
 
     def build_catalog(self) -> None:
         policies = self.table("policy_chunks")
-        self._replace(catalog.embed_chunks(policies), "policy_embeddings")
-        self._replace(
-            catalog.policy_catalog(policies, catalog.embed_normalised(policies)), "policy_catalog"
-        )
+        embedder = self.models.embed
+        self._replace(catalog.embed_chunks(policies, embedder), "policy_embeddings")
+        normalised = catalog.embed_normalised(policies, embedder)
+        self._replace(catalog.policy_catalog(policies, normalised), "policy_catalog")
         tables.replace_view(
             catalog.theme_validation(policies, self.table("label_taxonomy")),
             "policy_chunks_validation",
         )
 
     def match(self) -> None:
-        queries = embed.query_texts(
-            self.table("batch_triage_raw"), self.spark.table("batch_case_summaries")
+        """Triage answers meet the current summaries once; the rest is in the row."""
+        current = self.table("batch_triage_raw").drop("summary", "summary_source").join(
+            self.spark.table("batch_case_summaries").filter(F.col("summary").isNotNull()),
+            "service_request_id",
         )
-        vectors = self._replace(embed.embed_cases(queries), "case_query_embeddings")
-        found = match.tiered_match(
-            vectors, self.table("policy_embeddings"),
-            self.settings.max_distance, self.settings.neighbours,
+        vectors = self._replace(
+            embed.embed_cases(embed.search_theme(current), self.models.embed),
+            "case_query_embeddings",
         )
-        self._replace(found, "batch_policy_matches")
+        matched = self._replace(
+            match.matched_rows(
+                vectors, self.table("policy_embeddings"),
+                self.settings.max_distance, self.settings.neighbours,
+            ),
+            "triage_matched",
+        )
+        tables.replace_view(matched.filter("policy_matched"), "batch_policy_matches")
 
     def refine(self) -> None:
         name = self.name("batch_triage_policy_refined")
         done = tables.ensure_table(self.spark, name, tables.REFINED_ACTIONS)
-        todo = refine.refine_prep(
-            self.table("batch_triage_raw"), self.spark.table("batch_case_summaries"),
-            self.table("batch_policy_matches"), done, self.settings.refine_batch,
-        )
+        open_rows = pending(self.table("triage_matched"), done)
+        todo = refine.refine_matched(open_rows, self.settings.refine_batch)
         tables.append(refine.refine(self._replace(todo, "triage_todo"), self.models.refine), name)
 
     def report(self) -> None:
         triage, refined = self.table("batch_triage_raw"), self.table("batch_triage_policy_refined")
         case_summaries = self.spark.table("batch_case_summaries")
-        pool = reports.proto_pool(case_summaries, triage, self.table("batch_policy_matches"))
+        pool = reports.pool_of_matched(case_summaries, self.table("triage_matched"))
         best = self._replace(
             reports.best_pool(reports.parse_pool(pool), self.settings.analysis_pool),
             "analysis_pool",
@@ -192,7 +200,7 @@ class Job:
                     "07_policy_chunks": self.table("policy_chunks"),
                     "08_policy_embeddings": self.table("policy_embeddings"),
                     "09_case_query_embeddings": self.table("case_query_embeddings"),
-                    "10_batch_policy_matches": self.table("batch_policy_matches"),
+                    "10_batch_policy_matches": self.spark.table("batch_policy_matches"),
                     "11_batch_triage_policy_refined": refined,
                 }
             ),

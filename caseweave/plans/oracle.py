@@ -429,6 +429,7 @@ SELECTS: dict[str, str] = {
     "tiered_match": "SELECT * FROM given_matches",
     "case_matches": "SELECT * FROM text_matches",
     "refine_prep": "SELECT * FROM to_refine",
+    "refine_prep_fused": "SELECT * FROM to_refine",
     "work_batch": "SELECT * FROM to_refine ORDER BY service_request_id LIMIT 200",
     "alignment_flag": r"""
       SELECT page_id, title,

@@ -302,11 +302,18 @@ def case_matches(t):
 
 @query
 def refine_prep(t):
+    """From the separate triage, summary, match and done tables."""
     return refine.refine_prep(
         t.triage, t.summaries, t.matches, t.refined_before, batch_size=None
     )
 
 
+@query
+def refine_prep_fused(t):
+    """The same rows when triage rows are matched in place."""
+    return t.refine_todo
+
+
 @query
 def work_batch(t):
     return worklist.work_batch(t.refine_todo, 200)
@@ -335,33 +342,30 @@ def share_of_total(t):
 # --- analysis ---------------------------------------------------------------
 
 
-def _pool(t: Bindings) -> DataFrame:
-    return reports.proto_pool(t.summaries, t.triage, t.matches)
-
-
 @query
 def proto_pool(t):
-    return _pool(t)
+    """From the three separate tables."""
+    return reports.proto_pool(t.summaries, t.triage, t.matches)
 
 
 @query
 def proto_pool_parsed(t):
-    return reports.parse_pool(_pool(t))
+    return t.pool
 
 
 @query
 def best_pool_topk(t):
-    return reports.best_pool(reports.parse_pool(_pool(t)), 1000)
+    return reports.best_pool(t.pool, 1000)
 
 
 @query
 def full_cohort(t):
-    return reports.full_cohort(reports.parse_pool(_pool(t)))
+    return reports.full_cohort(t.pool)
 
 
 @query
 def cohort_match_rate(t):
-    return reports.cohort_match_rate(reports.full_cohort(_pool(t)))
+    return reports.cohort_match_rate(reports.full_cohort(t.pool))
 
 
 @query

@@ -8,15 +8,18 @@ SMALL_TABLE = 256 << 20
 TINY_TABLE = 256 << 10
 
 
-def read_table(spark: SparkSession, path: str, spread_below: int = SMALL_TABLE) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, schema: str | None = None, spread_below: int = SMALL_TABLE
+) -> DataFrame:
     """A parquet table, split well enough to keep every core busy.
 
     One row group is one task, so a small table written in one piece would
     leave the text work that follows to a single core.  Below a byte bound its
     rows are dealt out; a large table has row groups enough and is never
-    shuffled here.
+    shuffled here.  A given schema saves the job that would infer it.
     """
-    table = spark.read.parquet(path)
+    reader = spark.read.schema(schema) if schema else spark.read
+    table = reader.parquet(path)
     size = estimated_bytes(table)
     if TINY_TABLE < size < spread_below:
         return table.repartition(spark.sparkContext.defaultParallelism)

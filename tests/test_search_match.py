@@ -116,8 +116,8 @@ def test_hashed_vector_counts_whole_text(spark):
     import hashlib
 
     text = "Élan vital 42 élan " + "word " * 5000
-    row = embed.embed_text(
-        spark.createDataFrame([(text,), (None,), ("",)], "t string"), "t", buckets=16
+    row = spark.createDataFrame([(text,), (None,), ("",)], "t string").select(
+        embed.hashed_vector(F.col("t"), 16).alias("embedding")
     ).collect()
     want = [0] * 16
     for token in text.lower().split():
@@ -126,6 +126,12 @@ def test_hashed_vector_counts_whole_text(spark):
     assert row[1].embedding is None and row[2].embedding == [0] * 16
 
 
+def test_outside_embedder(spark, rows):
+    df = spark.createDataFrame([("ab",), (None,)], "t string")
+    lengths = embed.model_vector(lambda texts: [[len(t), 1.0] for t in texts])
+    assert rows(embed.embed_text(df, "t", embedder=lengths), "embedding") == [(None,), ([2.0, 1.0],)]
+
+
 CANDIDATES = (
     "service_request_id string, case_theme string, policy_id string, target_theme string, "
     "cosine_distance double"
