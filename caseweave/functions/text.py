@@ -70,10 +70,10 @@ def title_case(text: Column, delimiters: str = fv.TITLE_DELIMITERS) -> Column:
     """Upper-case each letter that follows a delimiter, lower-case the rest.
 
     ``initcap`` only knows blanks, so a marked blank is put after every other
-    delimiter and taken out again afterwards.
+    delimiter, unless a blank follows anyway, and taken out again afterwards.
     """
     others = "[" + re.sub(r"([\[\]\\^\-&])", r"\\\1", delimiters.replace(" ", "")) + "]"
-    marked = F.regexp_replace(text, "(" + others + ")", "$1" + _MARK + " ")
+    marked = F.regexp_replace(text, "(" + others + ")(?=[^ ])", "$1" + _MARK + " ")
     return F.replace(F.initcap(marked), F.lit(_MARK + " "), F.lit(""))
 
 

@@ -89,7 +89,7 @@ def cohort_match_rate(cohort: DataFrame) -> DataFrame:
 
 
 def share_of_total(rows: DataFrame, by: str = "alignment") -> DataFrame:
-    """Count and percentage per value; the window only sees the counts."""
+    """Count and percentage per value of a label; the window sees only the counts."""
     counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("ct"))
     total = F.sum("ct").over(Window.partitionBy())
     return counts.withColumn("pct", F.round(100 * F.col("ct") / total, 1)).orderBy(

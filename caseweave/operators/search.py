@@ -26,7 +26,7 @@ from caseweave.functions.nearest import (
 )
 
 MAX_BROADCAST_BYTES = 64 << 20
-CHUNK_ROWS = 8192
+CHUNK_BYTES = 128 << 20
 
 _BLOCKS = {"vector": VectorBlock, "tokens": TokenBlock}
 
@@ -44,12 +44,13 @@ def nearest(
     compare: str = "vector",
     into: str = "candidates",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-    chunk_rows: int = CHUNK_ROWS,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Add an array of the ``k`` nearest catalog rows, nearest first.
 
     ``compare`` is ``vector`` for numeric arrays or ``tokens`` for token arrays.
-    Rows without a usable vector get an empty array.
+    Rows without a usable vector get an empty array.  Query ids must be unique
+    and not null; they are only used when the catalog exceeds the bound.
     """
     label = F.col(base_label) if base_label else F.lit(None)
     base = catalog.select(
@@ -58,17 +59,17 @@ def nearest(
         F.col(base_on).alias("base_on"),
     )
     ensure_on_workers(queries.sparkSession)
-    rows, size = _extent(base, compare)
+    size, row_bytes = _extent(base, compare)
     if size <= max_broadcast_bytes:
         return _in_place(queries, base, k, query_on, compare, into)
     return _by_cells(
         queries, base, k, query_id, query_on, compare, into,
-        blocks=-(-size // max_broadcast_bytes), chunk_rows=chunk_rows,
+        blocks=-(-size // max_broadcast_bytes), chunk_rows=max(chunk_bytes // row_bytes, 1),
     )
 
 
 def _extent(base: DataFrame, compare: str) -> tuple[int, int]:
-    """Rows and bytes the catalog would take as a matrix on an executor."""
+    """Bytes the catalog would take as a matrix on an executor, and per row as sent."""
     seen = base.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(F.size("base_on")), F.lit(0)).alias("cells"),
@@ -79,7 +80,7 @@ def _extent(base: DataFrame, compare: str) -> tuple[int, int]:
     ).first()
     # A token block is rows x distinct tokens; its token total bounds the latter.
     cells = seen.cells if compare == "vector" else seen.rows * max(seen.cells, 1)
-    return seen.rows, 8 * cells + seen.names
+    return 8 * cells + seen.names, max(8 * seen.cells // max(seen.rows, 1), 8)
 
 
 def _block(compare: str, base: pa.Table):
@@ -105,6 +106,8 @@ def _in_place(queries, base, k, query_on, compare, into) -> DataFrame:
 def _by_cells(
     queries, base, k, query_id, query_on, compare, into, blocks: int, chunk_rows: int
 ) -> DataFrame:
+    # Every query goes to each block and every base row to each chunk, so chunks
+    # are as large as a task can hold.
     chunks = max(-(-queries.count() // chunk_rows), 1)
 
     def spread(df, own, own_n, other, other_n):

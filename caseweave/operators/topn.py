@@ -13,7 +13,7 @@ def top_n(
     n: int,
     order: Sequence[Column],
     within: Sequence[str] = (),
-    lanes: int = 64,
+    lanes: int = 256,
 ) -> DataFrame:
     """First ``n`` rows by ``order``, per group of ``within`` or overall.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SMALL_TABLE = 256 << 20
 TINY_TABLE = 256 << 10
+PIECE = 1 << 20
 
 
 def read_table(
@@ -22,7 +23,8 @@ def read_table(
     table = reader.parquet(path)
     size = estimated_bytes(table)
     if TINY_TABLE < size < spread_below:
-        return table.repartition(spark.sparkContext.defaultParallelism)
+        pieces = min(spark.sparkContext.defaultParallelism, -(-size // PIECE))
+        return table.repartition(pieces)
     return table
 
 

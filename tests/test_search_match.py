@@ -55,7 +55,7 @@ def frames(spark, data):
 def test_nearest_equals_brute_force(spark, data, limit):
     queries, base = frames(spark, data)
     found = search.nearest(
-        queries, base, 5, base_label="target_theme", max_broadcast_bytes=limit, chunk_rows=70
+        queries, base, 5, base_label="target_theme", max_broadcast_bytes=limit, chunk_bytes=3500
     )
     got = {
         r.service_request_id: [(c.base_id, c.distance) for c in r.candidates]
@@ -70,7 +70,7 @@ def test_nearest_equals_brute_force(spark, data, limit):
 
 def test_large_catalog_is_cut_into_cells_and_nothing_is_broadcast(spark, data):
     queries, base = frames(spark, data)
-    found = search.nearest(queries, base, 5, max_broadcast_bytes=600, chunk_rows=70)
+    found = search.nearest(queries, base, 5, max_broadcast_bytes=600, chunk_bytes=3500)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
@@ -103,7 +103,7 @@ def test_token_search_equals_brute_force(spark, limit):
     )
     found = search.nearest(
         as_df(docs), as_df(items), 4, query_id="id", query_on="tokens", base_id="id",
-        base_on="tokens", compare="tokens", max_broadcast_bytes=limit, chunk_rows=16,
+        base_on="tokens", compare="tokens", max_broadcast_bytes=limit, chunk_bytes=400,
     )
     got = {r.id: [c.base_id for c in r.candidates] for r in found.collect()}
     want = brute_force(
