@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caseweave import fixed_values as fv
 from caseweave.functions import text as tx
 from caseweave.operators.topn import top_n
+from caseweave.operators.worklist import only
 
 
 def stratum() -> Column:
@@ -39,8 +40,5 @@ def stratified_cohort(
 
 def fallback_ids(quality: DataFrame, cohort: DataFrame) -> DataFrame:
     """Cohort cases that need media because their text is unusable."""
-    return (
-        quality.filter(F.col("is_bad_text") & F.col("has_media"))
-        .select("service_request_id")
-        .join(cohort.select("service_request_id"), "service_request_id")
-    )
+    weak = quality.filter(F.col("is_bad_text") & F.col("has_media"))
+    return only(weak.select("service_request_id"), cohort)

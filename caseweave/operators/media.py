@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseweave.functions import text as tx
-from caseweave.operators.worklist import pending
+from caseweave.operators.worklist import only, pending
 from caseweave.sources.requests import with_object_id
 
 
@@ -19,17 +19,13 @@ def image_candidates(cases: DataFrame) -> DataFrame:
 
 def todo_from_urls(cases: DataFrame, fallback: DataFrame, done: DataFrame) -> DataFrame:
     """Fallback cases with an image URL and no summary yet."""
-    wanted = image_candidates(cases).join(
-        fallback.select("service_request_id"), "service_request_id"
-    )
+    wanted = only(image_candidates(cases), fallback)
     return pending(wanted, done).select("service_request_id", F.col("media_url").alias("url"))
 
 
 def object_lookup(objects: DataFrame, fallback: DataFrame) -> DataFrame:
     """Stored objects that belong to a fallback case."""
-    return with_object_id(objects).join(
-        fallback.select("service_request_id"), "service_request_id", "left_semi"
-    )
+    return only(with_object_id(objects), fallback)
 
 
 def todo_from_objects(objects: DataFrame, fallback: DataFrame, done: DataFrame) -> DataFrame:
@@ -45,10 +41,6 @@ def download_manifest(
     cases: DataFrame, cohort: DataFrame, prefix: str = "images/"
 ) -> DataFrame:
     """Images to fetch for the cohort and the object key each goes to."""
-    return (
-        image_candidates(cases)
-        .join(cohort.select("service_request_id"), "service_request_id")
-        .withColumn(
-            "object_key", F.concat(F.lit(prefix), F.col("service_request_id"), F.lit(".jpg"))
-        )
+    return only(image_candidates(cases), cohort).withColumn(
+        "object_key", F.concat(F.lit(prefix), F.col("service_request_id"), F.lit(".jpg"))
     )

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caseweave.operators.clean import prepare
+from caseweave.operators.worklist import only
+
 
 def text_source(cohort: DataFrame, cleaned: DataFrame, quality: DataFrame) -> DataFrame:
     """Cohort ids with cleaned text and quality flag, from separate tables."""
@@ -15,19 +18,21 @@ def text_source(cohort: DataFrame, cleaned: DataFrame, quality: DataFrame) -> Da
     )
 
 
-def text_source_of_prepared(
-    prepared: DataFrame, cohort: DataFrame | None = None, keep_null_text: bool = False
-) -> DataFrame:
+def text_source_of_prepared(prepared: DataFrame, keep_null_text: bool = False) -> DataFrame:
     """The same from one prepared table: no text is shuffled to meet its own flag.
 
     Cases without any text drop out even when a photo could speak for them;
-    ``keep_null_text`` keeps them.  Without a cohort every case is taken.
+    ``keep_null_text`` keeps them.
     """
     rows = prepared if keep_null_text else prepared.filter("has_text")
-    rows = rows.select("service_request_id", "complaint_text", "is_bad_text")
-    if cohort is None:
-        return rows
-    return rows.join(cohort.select("service_request_id"), "service_request_id")
+    return rows.select("service_request_id", "complaint_text", "is_bad_text")
+
+
+def text_source_of_cases(
+    cases: DataFrame, cohort: DataFrame, keep_null_text: bool = False, **settings
+) -> DataFrame:
+    """The same from normalised cases: the cohort is picked before any text is cleaned."""
+    return text_source_of_prepared(prepare(only(cases, cohort), **settings), keep_null_text)
 
 
 def case_summaries(texts: DataFrame, photo_summaries: DataFrame) -> DataFrame:

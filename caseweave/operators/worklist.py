@@ -11,11 +11,22 @@ from pyspark.sql import functions as F
 def pending(
     todo: DataFrame, done: DataFrame, on: str | Sequence[str] = "service_request_id"
 ) -> DataFrame:
-    """Rows of ``todo`` whose key is not in ``done``; both sides shuffle keys once."""
+    """Rows of ``todo`` whose key is not in ``done``."""
     keys = [on] if isinstance(on, str) else list(on)
     return todo.join(done.select(*keys), keys, "left_anti")
 
 
+def only(
+    rows: DataFrame, wanted: DataFrame, on: str = "service_request_id"
+) -> DataFrame:
+    """Rows whose key is in ``wanted``.
+
+    Catalyst does not move a semi join below computed columns: apply it to the
+    bare rows, before their text is worked on.
+    """
+    return rows.join(wanted.select(on), on, "left_semi")
+
+
 def absent(todo: DataFrame, listed: DataFrame, on: str = "service_request_id") -> DataFrame:
     """``NOT IN`` for a key that is never null: null keys on either side are an error.
 

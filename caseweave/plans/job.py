@@ -84,7 +84,6 @@ class Job:
 
     def prepare_cases(self) -> None:
         cases = tables.replace_view(normalise_requests(self.raw), "cases_norm")
-        tables.replace_view(clean.prepare(cases), "cases_prepared")
         tables.replace_view(clean.clean_text(cases), "cases_for_classify")
         tables.replace_view(clean.text_quality(cases), "cases_text_quality")
 
@@ -120,20 +119,22 @@ class Job:
         answers = batch_infer(todo, prompt, self.models.photo)
         tables.append(answers.withColumnRenamed("result", "summary_text"), name)
 
-    def summarise_cases(self) -> None:
-        texts = summaries.text_source_of_prepared(
-            self.spark.table("cases_prepared"), self.table("batch_ids"),
-            self.settings.keep_null_text,
+    def _summaries(self, ids: DataFrame) -> DataFrame:
+        texts = summaries.text_source_of_cases(
+            self.spark.table("cases_norm"), ids, self.settings.keep_null_text
         )
-        view = summaries.case_summaries(texts, self.table("batch_image_summaries"))
-        tables.replace_view(view, "batch_case_summaries")
+        return summaries.case_summaries(texts, self.table("batch_image_summaries"))
+
+    def summarise_cases(self) -> None:
+        tables.replace_view(self._summaries(self.table("batch_ids")), "batch_case_summaries")
 
     def triage(self) -> None:
         name = self.name("batch_triage_raw")
         done = tables.ensure_table(self.spark, name, tables.TRIAGE_RESULTS)
-        usable = self.spark.table("batch_case_summaries").filter(F.col("summary").isNotNull())
+        # Only open cases are cleaned again, not the whole cohort.
+        todo = self._summaries(pending(self.table("batch_ids"), done))
         answers = batch_infer(
-            pending(usable, done), triage_prompt(), self.models.triage,
+            todo.filter(F.col("summary").isNotNull()), triage_prompt(), self.models.triage,
             shared_prompts=False,  # the prompt holds the case id
         )
         tables.append(answers.withColumnRenamed("result", "triage_result"), name)

@@ -91,24 +91,29 @@ def test_photo_todo_from_urls(spark, rows):
 
 
 def test_case_summaries_branches(spark, rows):
-    prepared = spark.createDataFrame(
-        [("1", "Good.", False, True), ("2", "(X) No.", True, True), ("3", "(X) No.", True, True),
-         ("4", None, True, False), ("5", "Good.", False, True)],
-        "service_request_id string, complaint_text string, is_bad_text boolean, has_text boolean",
+    from caseweave.operators import clean
+
+    good, weak = "some good text", "open"
+    cases = spark.createDataFrame(
+        [("1", "t", good, None), ("2", "x", weak, "u"), ("3", "x", weak, "u"),
+         ("4", None, None, "u"), ("5", "t", good, None), ("9", "t", good, None)],
+        "service_request_id string, request_type string, request_details string, "
+        "media_url string",
     )
     photos = spark.createDataFrame(
         [("2", "photo"), ("4", "photo"), ("5", "photo"), ("3", None)],
         "service_request_id string, summary_text string",
     )
     ids = frame(spark, ["1", "2", "3", "4", "5"])
-    texts = summaries.text_source_of_prepared(prepared, ids)
     expected = [
-        ("1", "Good.", "text"), ("2", "photo", "image"), ("3", None, "none"), ("5", "Good.", "text")
+        ("1", "Some Good Text.", "text"), ("2", "photo", "image"), ("3", None, "none"),
+        ("5", "Some Good Text.", "text"),
     ]
+    texts = summaries.text_source_of_cases(cases, ids)
     assert rows(summaries.case_summaries(texts, photos)) == expected
-    joined = summaries.text_source(ids, prepared.filter("has_text"), prepared)
+    joined = summaries.text_source(ids, clean.clean_text(cases), clean.text_quality(cases))
     assert rows(summaries.case_summaries(joined, photos)) == expected
-    kept = summaries.text_source_of_prepared(prepared, ids, keep_null_text=True)
+    kept = summaries.text_source_of_cases(cases, ids, keep_null_text=True)
     assert ("4", "photo", "image") in rows(summaries.case_summaries(kept, photos))
 
 
@@ -128,3 +133,19 @@ def test_absent_refuses_null_keys(spark, rows):
 
 def test_work_batch_is_repeatable(spark, rows):
     assert rows(worklist.work_batch(frame(spark, ["3", "10", "2"]), 2)) == [("10",), ("2",)]
+
+
+def test_text_is_only_cleaned_for_the_cohort(spark, tmp_path):
+    cases = spark.createDataFrame(
+        [("1", "t", "some text", None)],
+        "service_request_id string, request_type string, request_details string, "
+        "media_url string",
+    )
+    cases.write.parquet(str(tmp_path / "cases"))
+    texts = summaries.text_source_of_cases(
+        spark.read.parquet(str(tmp_path / "cases")), frame(spark, ["1"])
+    )
+    lines = texts._jdf.queryExecution().executedPlan().toString().split("\n")
+    cleaning = max(i for i, line in enumerate(lines) if "initcap" in line)
+    picking = [i for i, line in enumerate(lines) if "LeftSemi" in line]
+    assert len(picking) == 1 and picking[0] > cleaning

@@ -77,7 +77,7 @@ def test_published_row_counts(bound):
     )
     assert photos.count() == 2
     made = summaries.case_summaries(
-        summaries.text_source_of_prepared(bound.prepared, drawn), photos
+        summaries.text_source_of_cases(bound.cases, drawn), photos
     )
     counts = {r.summary_source: r.n for r in made.groupBy("summary_source").agg(
         F.count("*").alias("n")).collect()}
