@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SMALL_TABLE = 256 << 20
 TINY_TABLE = 256 << 10
-PIECE = 1 << 20
+PIECE = 128 << 10
 
 
 def read_table(
