@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,3 +21,31 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def whole_text(name: str) -> Column:
     """The whole text of a row; a null counts as the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+HOT_SHARE = 1024
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, found: str) -> DataFrame:
+    """Left join of rows with the groups they belong to, however large one group is.
+
+    ``groups`` has one row per key with the number of rows it has (``size``) and a
+    struct ``found``.  Groups over one row in HOT_SHARE are fewer than HOT_SHARE,
+    so they are broadcast; their rows then look for nothing in the shuffled join
+    and are dealt out at random by it.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = groups.where(F.col(size) * HOT_SHARE > total).select(*keys, F.col(found).alias("_hot"))
+    cold = groups.where(F.col(size) * HOT_SHARE <= total).select(*keys, F.col(found).alias("_cold"))
+    first, *others = keys
+    probed = rows.join(F.broadcast(hot), keys, "left")
+    answered = F.col("_hot").isNotNull()
+    spread = probed.withColumns(
+        {
+            f"_{first}": F.when(answered, F.xxhash64(*rows.columns, F.monotonically_increasing_id())).otherwise(F.col(first)),
+            **{f"_{k}": F.when(~answered, F.col(k)) for k in others},
+        }
+    )
+    cold = cold.withColumnsRenamed({k: f"_{k}" for k in keys})
+    joined = spread.join(cold, [f"_{k}" for k in keys], "left")
+    return joined.select(*rows.columns, F.coalesce("_hot", "_cold").alias(found))

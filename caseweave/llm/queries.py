@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from caseweave.llm import exact_dedup, mixing, url_filter, winnow
+from caseweave.llm import exact_dedup, language, mixing, near_join, packing, records, url_filter, winnow
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +19,26 @@ def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return winnow.compare_with_next(_table(spark, folder, "documents"))
 
 
+def op2_near_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_join.near_classes(_table(spark, folder, "documents"))
+
+
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(
+        _table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+
+
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    profile = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
+    return language.predict_languages(docs, profile)
+
+
+def op7_records(spark: SparkSession, folder: str) -> DataFrame:
+    return records.round_trip(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_copies(_table(spark, folder, "documents"))
 
@@ -30,7 +52,16 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op8_exact_dedup, op9_mixing, op10_url_filter)
+    f.__name__: f for f in (
+        op1_fingerprints,
+        op2_near_join,
+        op4_packing,
+        op6_language,
+        op7_records,
+        op8_exact_dedup,
+        op9_mixing,
+        op10_url_filter,
+    )
 }
 
 ORACLE_SQL = {
