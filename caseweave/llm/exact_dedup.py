@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 
 from caseweave.llm.native import whole_text
 from caseweave.sinks.staging import stage
+from caseweave.sources.tables import estimated_bytes
 
 BUCKET_ENTRIES = 1 << 20
 DIRECTORY_BITS = 12
 HOT_SHARE = 1024
+SMALL_VERDICTS = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -148,11 +150,20 @@ def exact_copies(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    kept = exact_copies(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("kept_id"), "text_sha256")
-    # The digest settles which of two rows with one id is meant.
-    return docs.join(
-        kept.distinct(),
-        docs[id_col].eqNullSafe(F.col("kept_id")) & (F.sha2(whole_text(text_col), 256) == F.col("text_sha256")),
-        "left_semi",
+    """The rows of ``docs`` that stay, with all their columns; one of each text, also
+    where the table repeats a row with its id."""
+    verdicts = stage(exact_copies(docs, id_col, text_col).select(F.col(id_col).alias("_id"), "text_sha256", "kept"), "exact-verdicts")
+    gone = verdicts.where(~F.col("kept")).distinct()
+    twice = verdicts.where("kept").groupBy("_id", "text_sha256").count().where("count > 1")
+
+    def same(other: DataFrame, how: str, rows: DataFrame) -> DataFrame:
+        small = F.broadcast(other) if estimated_bytes(verdicts) < SMALL_VERDICTS else other
+        match = rows[id_col].eqNullSafe(F.col("_id")) & (F.sha2(whole_text(text_col), 256) == F.col("text_sha256"))
+        return rows.join(small, match, how)
+
+    stay = same(gone, "left_anti", docs)
+    if twice.isEmpty():
+        return stay
+    return same(twice, "left_anti", stay).unionByName(
+        same(twice, "left_semi", stay).dropDuplicates([id_col, text_col])
     )

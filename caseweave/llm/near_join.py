@@ -26,6 +26,7 @@ from caseweave.deploy import ensure_on_workers
 from caseweave.llm.components import components
 from caseweave.llm.hashing import U64, mix, runs_of, words_of
 from caseweave.llm.native import join_groups, whole_text
+from caseweave.llm.runs import by_runs
 from caseweave.sinks.staging import stage
 from caseweave.sources.tables import estimated_bytes
 
@@ -208,22 +209,6 @@ def surviving(
     return np.concatenate(left), np.concatenate(right)
 
 
-def _by_runs(batches: Iterator[pd.DataFrame], column: str) -> Iterator[pd.DataFrame]:
-    """Sorted batches, cut so that no run of equal values is split."""
-    rest = None
-    for batch in batches:
-        batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        if not len(batch):
-            continue
-        values = batch[column].to_numpy()
-        start = int(np.argmax(values == values[-1]))  # sorted: the last run begins here
-        rest = batch.iloc[start:]
-        if start:
-            yield batch.iloc[:start].reset_index(drop=True)
-    if rest is not None and len(rest):
-        yield rest.reset_index(drop=True)
-
-
 def verify(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
     """Whether each pair of sets reaches the threshold, by counting common elements."""
     every = np.concatenate(sets)
@@ -315,7 +300,7 @@ def near_classes(
     )
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in _by_runs(batches, "cell"):
+        for batch in by_runs(batches, "cell"):
             sigs = np.frombuffer(b"".join(batch["sig"]), np.uint16).reshape(len(batch), HASHES)
             cell, ids = batch["cell"].to_numpy(), batch["id"].to_numpy()
             left, right = surviving(sigs, batch["band"].to_numpy(), cell, batch["side"].to_numpy(), needed)
@@ -344,7 +329,7 @@ def near_classes(
     )
 
     def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in _by_runs(batches, "cell"):
+        for batch in by_runs(batches, "cell"):
             batch = batch.drop_duplicates(["cell", "id"])  # rows that the table repeats
             cuts = np.flatnonzero(np.diff(batch["cell"].to_numpy())) + 1
             out = []
@@ -408,3 +393,17 @@ def near_classes(
         F.coalesce("found.n_links", F.lit(0)).alias("n_links"),
         F.coalesce("found.n_text_links", F.lit(0)).alias("n_text_links"),
     )
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that stay: of each class the row with the smallest id, with
+    all its columns.  Rows with a null id stay; rows with one id stay or go together."""
+    gone = (
+        near_classes(docs, id_col, text_col, **options)
+        .where(F.col("class_id") != F.col(id_col))
+        .select(F.col(id_col).alias("_gone"))
+        .distinct()
+    )
+    gone = stage(gone, "near-gone")
+    small = F.broadcast(gone) if estimated_bytes(gone) < SMALL_LIST else gone
+    return docs.join(small, docs[id_col] == F.col("_gone"), "left_anti")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseweave.llm import exact_dedup, language, mixing, near_join, packing, records, url_filter, winnow
+from caseweave.llm import exact_dedup, fm_index, language, mixing, near_join, packing, prefix_free, records, url_filter, winnow
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,12 +23,20 @@ def op2_near_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_join.near_classes(_table(spark, folder, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_free.remove_repeats(_table(spark, folder, "documents")).drop("spans")
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(
         _table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")
     )
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return fm_index.remove_repeats(_table(spark, folder, "documents")).drop("spans")
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     profile = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
@@ -55,7 +63,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_fingerprints,
         op2_near_join,
+        op3_suffix_dedup,
         op4_packing,
+        op5_substring_dedup,
         op6_language,
         op7_records,
         op8_exact_dedup,

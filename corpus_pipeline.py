@@ -1,20 +1,43 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Each stage takes what its predecessor kept.  All but the last return the columns
+of ``documents``; the last one returns where each piece of each document lies in
+which training sequence.
+"""
 
 from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from caseweave.llm import exact_dedup, mixing
+from caseweave.llm import exact_dedup, language, mixing, near_join, packing
 from caseweave.sinks.staging import shared_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a letter, and null ones, go; a missing language is filled in."""
+    profile = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
+    found = docs.withColumn("_found", language.language_of(F.col("text").cast("string"), profile))
+    return (
+        found.where(F.col("_found.lang") != language.UNDETERMINED)
+        .withColumn("lang", F.coalesce("lang", "_found.lang"))
+        .select(*COLUMNS)
+    )
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal text the one with the largest id stays."""
-    return exact_dedup.drop_copies(docs)
+    return exact_dedup.drop_copies(docs).select(*COLUMNS)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of a class of near copies the document with the smallest id stays."""
+    return near_join.drop_near_copies(docs).select(*COLUMNS)
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +45,19 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return mixing.mix_sources(docs, columns=COLUMNS).select(*COLUMNS)
 
 
-STAGES = [("exact dedup", drop_exact_copies), ("mixing", mix_to_weights)]
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 tokens; a document that was drawn twice is packed twice."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("exact dedup", drop_exact_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("mixing sources to target weights", mix_to_weights),
+    ("best-fit packing", pack_sequences),
+]
+#: No SQL says what a suffix automaton or a token id is; the tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
