@@ -246,7 +246,7 @@ def identify(automata: Automata, texts: list[str | None]) -> pd.DataFrame:
         second = np.partition(phrases, 1, axis=1)[:, 1] if phrases.shape[1] > 1 else np.full(len(best), np.inf)
         known = letters > 0
         langs += [automata.languages[b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)]
-        scores += np.where(known, 1 - least / second, 0.0).tolist()
+        scores += np.where(known, 1 - least / np.maximum(second, 1), 0.0).tolist()
         rates += np.where(known, least / np.maximum(sizes, 1), 1.0).tolist()
     return pd.DataFrame({"lang": langs, "score": scores, "phrases_per_char": rates})
 

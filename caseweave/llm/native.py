@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseweave.sources.tables import estimated_bytes
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and use it as often as ``body`` likes.
@@ -23,6 +25,17 @@ def whole_text(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+UNKNOWN_SIZE = 1 << 60
+
+
+def text_bytes(rows: DataFrame, column: str) -> int:
+    """About how large a table is: its files, or where Spark has no idea, its texts."""
+    size = estimated_bytes(rows)
+    if size < UNKNOWN_SIZE:
+        return size
+    return rows.agg(F.sum(F.octet_length(column))).first()[0] or 0
+
+
 HOT_SHARE = 1024
 
 

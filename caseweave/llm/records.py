@@ -22,10 +22,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caseweave.deploy import ensure_on_workers
-from caseweave.llm.native import whole_text
+from caseweave.llm.native import text_bytes, whole_text
 from caseweave.llm.tokens import encoder
 from caseweave.sinks.staging import shared_folder, stage
-from caseweave.sources.tables import estimated_bytes
 
 END_ID = 2
 SHARD_BYTES = 16 << 20
@@ -88,7 +87,7 @@ def write_records(
     one id are ordered by their text; null texts are empty.
     """
     ensure_on_workers(docs.sparkSession)
-    shards = max(1, -(-estimated_bytes(docs) // shard_bytes))
+    shards = max(1, -(-text_bytes(docs, text_col) // shard_bytes))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("body"))
     ordered = rows.repartitionByRange(shards, F.col("id").asc_nulls_first()).sortWithinPartitions(
         F.col("id").asc_nulls_first(), "body"

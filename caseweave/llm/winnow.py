@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseweave.llm.native import let, whole_text
-from caseweave.sources.tables import estimated_bytes
+from caseweave.llm.native import let, text_bytes, whole_text
 
 GRAM = 5
 WINDOW = 16
@@ -108,14 +107,14 @@ def fingerprints(
     return docs.select(F.col(id_col).alias(id_col), kept)
 
 
-def in_order(docs: DataFrame, id_col: str, range_bytes: int = RANGE_BYTES) -> tuple[Column, list]:
+def in_order(docs: DataFrame, id_col: str, text_col: str, range_bytes: int = RANGE_BYTES) -> tuple[Column, list]:
     """Cuts the id order into ranges of about ``range_bytes``: the number of a row's
     range, and the smallest id of each range (null if it only has null ids).
 
     Boundaries are approximate quantiles in two levels of FANOUT, so they are at
     most FANOUT ** 2 numbers however large the table.
     """
-    wanted = max(1, min(FANOUT**2, estimated_bytes(docs) // range_bytes))
+    wanted = max(1, min(FANOUT**2, text_bytes(docs, text_col) // range_bytes))
     fractions = [i / wanted for i in range(1, wanted)]
     cuts = docs.select(F.percentile_approx(id_col, fractions, max(10_000, 4 * wanted))).first()[0] if fractions else []
     cuts = sorted(set(cuts or []))
@@ -151,7 +150,7 @@ def compare_with_next(
     a table of one row is followed by itself.
     """
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("body"))
-    number, firsts = in_order(rows, "id", range_bytes)
+    number, firsts = in_order(rows, "id", "body", range_bytes)
     main = rows.withColumn("range", number).withColumn("tail", F.lit(False))
     if firsts:
         # The first rows of a range also close the one before, as what its last row is followed by.
