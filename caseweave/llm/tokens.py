@@ -12,7 +12,7 @@ from array import array
 from functools import cache
 
 #: Pieces remembered per worker, and the longest one that is.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 LONGEST = 48
 
 
@@ -25,7 +25,8 @@ def _letter(c: str) -> str:
 
 _GAPS = re.compile(r" ?[^\s]+|\s+(?!\S)|\s+")
 _UNSURE = re.compile("[\x1c-\x1f]|<\\|")
-_PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+_MARKS = ".,;:!?"
+_PLAIN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: How a byte-level vocabulary writes a blank and the two bytes of the letters above.
 _BYTES = {" ": "Ġ"} | {c: _letter(c) for c in map(chr, range(0xC0, 0x100))}
 _BYTES = {ord(c): w for c, w in _BYTES.items()}
@@ -41,7 +42,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         # Without a blank in front of a word in its vocabulary, white space only separates.
         self.spaced = self.tokenizer.token_to_id("Ġthe") is not None
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
+        self.known_marks: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
         if _UNSURE.search(text):  # special tokens, and blanks that the libraries see differently
@@ -53,28 +56,41 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         pieces = self.pieces(text)
         known = self.known
-        try:
-            return b"".join(map(known.__getitem__, pieces))
-        except KeyError:
-            pass
         if len(known) > REMEMBERED:
             known.clear()
-        return b"".join([known[p] if p in known else self._fresh(p) for p in pieces])
+        parts = list(map(known.get, pieces))
+        if None in parts:
+            parts = [self._fresh(p) if b is None else b for p, b in zip(pieces, parts, strict=True)]
+        return b"".join(parts)
 
     def _fresh(self, piece: str) -> bytes:
-        plain = _PLAIN.fullmatch(piece)
-        if plain is None or len(piece) > LONGEST:
+        word = piece.rstrip(_MARKS)
+        if not _PLAIN.fullmatch(word) or len(piece) > LONGEST:
             found = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
-        else:
-            # One word and its punctuation: the model's own input, without the tokenizer's other steps.
-            word, marks = plain.groups()
-            found = self._run(word if self.spaced else word.lower()) + (self._run(marks) if marks else b"")
-        if len(piece) <= LONGEST:
-            self.known[piece] = found
+            if len(piece) <= LONGEST:
+                self.known[piece] = found
+            return found
+        # One word and its punctuation: the model's own input, without the tokenizer's other steps.
+        marks = piece[len(word) :]
+        if not self.spaced:
+            word = word.lower()
+        found = self.known.get(word)
+        if found is None:
+            found = self.known[word] = self._run(word)
+            return found + self._marks(marks) if marks else found
+        found = found + self._marks(marks) if marks else found
+        self.known[piece] = found  # the word came before, so this form of it may come again
         return found
 
+    def _marks(self, marks: str) -> bytes:
+        if marks not in self.known_marks:
+            if len(self.known_marks) > 10_000:
+                self.known_marks.clear()
+            self.known_marks[marks] = self._run(marks)
+        return self.known_marks[marks]
+
     def _run(self, symbols: str) -> bytes:
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(symbols.translate(_BYTES))]).tobytes()
+        return array("I", [t.id for t in self.model.tokenize(symbols.translate(_BYTES))]).tobytes()
 
 
 @cache
