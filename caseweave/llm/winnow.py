@@ -18,7 +18,7 @@ WINDOW = 16
 #: A letter of a script without blanks is a word of its own.
 WORDS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]|[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]]+"
 POSITION_BITS = 30
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 4 << 20
 FANOUT = 256
 
 
