@@ -30,14 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseweave.deploy import ensure_on_workers
-from caseweave.llm.hashing import U64, mix, prefix_sums, span_hashes
+from caseweave.llm.hashing import U64, in_batches, mix, prefix_sums, span_hashes
 from caseweave.llm.native import whole_text
 from caseweave.llm.runs import by_runs
 from caseweave.sinks.staging import stage
 from caseweave.sources.tables import estimated_bytes
 
 WHOLE, PARTLY = 1, 2
-BATCH_BYTES = 4 << 20
 SAMPLE = 64
 HOT_COUNT, HOT_SHARE = 20, 2000
 SMALL_IDS = 8 << 20
@@ -112,18 +111,6 @@ def phrases_of(symbols: np.ndarray, bounds: np.ndarray, strings: Strings) -> Phr
     )
 
 
-def in_batches(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about BATCH_BYTES."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > BATCH_BYTES:
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def pack(start: np.ndarray, many: np.ndarray, flags: np.ndarray | int = 0) -> np.ndarray:
     """A phrase's place in one number: start, strings, and two bits."""
     return (start.astype(np.int64) << 16) | (many.astype(np.int64) << 2) | flags

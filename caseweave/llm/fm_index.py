@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseweave.llm.anchors import NULL_ID, Strings, in_batches, keyed, repeated_strings, unpack
-from caseweave.llm.hashing import U64, words_of
+from caseweave.llm.anchors import NULL_ID, Strings, keyed, repeated_strings, unpack
+from caseweave.llm.hashing import U64, in_batches, words_of
 
 WINDOW = 13
 GRAM = 5

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 U64 = np.uint64
 #: Any odd number has an inverse modulo 2 ** 64, which turns prefix sums into span hashes.
 BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(BASE, -1, 1 << 64)
+#: Texts are hashed in batches of about so many characters; a longer text is a batch of its own.
+BATCH_CHARS = 2 << 20
 _powers = [np.ones(1, U64), np.ones(1, U64)]
 
 
@@ -73,3 +77,15 @@ def runs_of(hashes: np.ndarray, length: int, salt: int = 0) -> np.ndarray:
     for j in range(length):
         total += hashes[j : j + many] * U64(int(rng.integers(1 << 63)) * 2 + 1)
     return mix(total)
+
+
+def in_batches(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about BATCH_CHARS."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        if size and size + len(t) > BATCH_CHARS:
+            yield start, i
+            start, size = i, 0
+        size += len(t)
+    if start < len(texts):
+        yield start, len(texts)

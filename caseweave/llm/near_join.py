@@ -24,7 +24,7 @@ from pyspark.sql.functions import pandas_udf
 
 from caseweave.deploy import ensure_on_workers
 from caseweave.llm.components import components
-from caseweave.llm.hashing import U64, mix, runs_of, words_of
+from caseweave.llm.hashing import U64, in_batches, mix, runs_of, words_of
 from caseweave.llm.native import join_groups, whole_text
 from caseweave.llm.runs import by_runs
 from caseweave.sinks.staging import stage
@@ -119,6 +119,21 @@ def _sum_by_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return sums[bounds[1:]] - sums[bounds[:-1]]
 
 
+def _signed(texts: list[str]) -> pd.DataFrame:
+    hashes, bounds = shingles(texts)
+    many = np.diff(bounds)
+    # The order counts: each shingle is mixed with its place.
+    place = np.arange(len(hashes), dtype=U64) - np.repeat(bounds[:-1], many).astype(U64)
+    k1 = _sum_by_text(mix(hashes + place * U64(0x9E3779B97F4A7C15)), bounds)
+    k2 = _sum_by_text(mix((hashes ^ U64(0x5851F42D4C957F2D)) + place * U64(0xD1342543DE82EF95)), bounds)
+    blobs: list[bytes | None] = [None] * len(texts)
+    for row, i in zip(signatures(hashes, bounds), np.flatnonzero(many), strict=True):
+        blobs[i] = row.tobytes()
+    return pd.DataFrame(
+        {"many": many.astype(np.int32), "k1": k1.view(np.int64), "k2": k2.view(np.int64), "sig": blobs}
+    )
+
+
 def signature_of(text: Column) -> Column:
     """A struct (many, k1, k2, sig) per text; k1 and k2 tell apart texts with different words."""
     ensure_on_workers()
@@ -127,19 +142,7 @@ def signature_of(text: Column) -> Column:
     def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch.tolist()
-            hashes, bounds = shingles(texts)
-            many = np.diff(bounds)
-            # The order counts: each shingle is mixed with its place.
-            place = np.arange(len(hashes), dtype=U64) - np.repeat(bounds[:-1], many).astype(U64)
-            k1 = _sum_by_text(mix(hashes + place * U64(0x9E3779B97F4A7C15)), bounds)
-            k2 = _sum_by_text(mix((hashes ^ U64(0x5851F42D4C957F2D)) + place * U64(0xD1342543DE82EF95)), bounds)
-            sigs = signatures(hashes, bounds)
-            blobs: list[bytes | None] = [None] * len(texts)
-            for row, i in zip(sigs, np.flatnonzero(many), strict=True):
-                blobs[i] = row.tobytes()
-            yield pd.DataFrame(
-                {"many": many.astype(np.int32), "k1": k1.view(np.int64), "k2": k2.view(np.int64), "sig": blobs}
-            )
+            yield pd.concat([_signed(texts[a:b]) for a, b in in_batches(texts)], ignore_index=True)
 
     return sign(text)
 
@@ -151,8 +154,11 @@ def shingle_set(text: Column) -> Column:
     @pandas_udf("binary")
     def collect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            hashes, bounds = shingles(batch.tolist())
-            yield pd.Series([np.unique(hashes[a:b]).tobytes() for a, b in zip(bounds, bounds[1:], strict=False)])
+            texts, sets = batch.tolist(), []
+            for low, high in in_batches(texts):
+                hashes, bounds = shingles(texts[low:high])
+                sets += [np.unique(hashes[a:b]).tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+            yield pd.Series(sets)
 
     return collect(text)
 
