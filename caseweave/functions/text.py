@@ -82,12 +82,14 @@ def weak_pattern(min_length=fv.MIN_TEXT_LENGTH, stop=fv.STOP_TEXTS) -> str:
 
     A run of blanks counts as one character and outer white space as none, so
     the pattern reads the text as it stands and gives up after a few characters.
+    Runs are possessive: none of them is ever given back, so a text of nothing
+    but separators is read once.
     """
     blank = r"[\t\n\f\r _\-]"
-    outer = "[_\\-" + fv.UNICODE_SPACES + "]*"
-    short = f"(?:{blank}+|[^\t\n\f\r _\\-]){{0,{min_length - 1}}}"
+    outer = "[_\\-" + fv.UNICODE_SPACES + "]*+"
+    short = f"(?:{blank}++|[^\t\n\f\r _\\-]){{0,{min_length - 1}}}"
     words = [
-        (blank + "+").join(
+        (blank + "++").join(
             re.escape(part).replace("k", "[k\u212a]") for part in re.split("[ _-]+", word)
         )
         for word in stop

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from caseweave.functions.text import trim_unicode
 from caseweave.operators.embed import Embedder, embed_text, hashed_vector
+from caseweave.operators.lookup import broadcast_if_small
 
 
 def normalise_chunks(policies: DataFrame) -> DataFrame:
@@ -34,7 +35,7 @@ def policy_catalog(policies: DataFrame, vectors: DataFrame) -> DataFrame:
 
 def theme_validation(policies: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """Is each policy's theme a known label, case ignored?"""
-    known = taxonomy.select("label_value")
+    known = broadcast_if_small(taxonomy.select("label_value"))
     return policies.join(
         known, F.lower("target_theme") == F.lower("label_value"), "left"
     ).select(

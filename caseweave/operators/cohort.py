@@ -32,9 +32,11 @@ def sample_order(seed: int, key: str = "service_request_id") -> list[Column]:
 
 
 def stratified_cohort(
-    quality: DataFrame, per_stratum: int = fv.COHORT_PER_STRATUM, seed: int = 42
+    quality: DataFrame, per_stratum: int | None = fv.COHORT_PER_STRATUM, seed: int = 42
 ) -> DataFrame:
-    """At most ``per_stratum`` random cases of each stratum, in one scan."""
+    """At most ``per_stratum`` random cases of each stratum, in one scan; all for ``None``."""
+    if per_stratum is None:
+        return eligible(quality)
     return top_n(eligible(quality), per_stratum, sample_order(seed), within=["stratum"])
 
 

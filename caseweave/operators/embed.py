@@ -12,7 +12,7 @@ from caseweave.deploy import ensure_on_workers
 from caseweave.functions.jsonfields import with_scalars
 from caseweave.functions.nearest import hashed_counts
 from caseweave.functions.text import tokens, trim_unicode
-from caseweave.operators.infer import embed_content
+from caseweave.operators.infer import embed_content, one_by_one
 
 BUCKETS = 64
 
@@ -40,14 +40,17 @@ def hashed_vector(text: Column, buckets: int = BUCKETS) -> Column:
 def model_vector(
     model: Callable[[list[str]], Sequence[Sequence[float] | None]],
 ) -> Embedder:
-    """Vectors from an outside model: a callable that embeds a list of texts."""
+    """Vectors from an outside model: a callable that embeds a list of texts.
+
+    A text that the model fails on gets no vector, the others of its batch do.
+    """
 
     @F.arrow_udf("array<float>")
     def call(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             texts = batch.to_pylist()
             sent = [t for t in texts if t is not None]
-            vectors = iter(model(sent) if sent else [])
+            vectors = iter(one_by_one(model, sent, lambda error: None))
             yield pa.array(
                 [None if t is None else next(vectors) for t in texts], pa.list_(pa.float32())
             )

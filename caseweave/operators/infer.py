@@ -24,6 +24,9 @@ from caseweave.sinks.staging import stage
 Answer = tuple[str | None, str | None]
 Model = Callable[[list[str]], Sequence[Answer]]
 
+#: What the status of a prompt starts with that has no answer.
+FAILED = "error: "
+
 
 # --- prompts ----------------------------------------------------------------
 
@@ -60,24 +63,36 @@ def prompt_hash(prompt: Column) -> Column:
 
 def distinct_prompts(keyed: DataFrame) -> DataFrame:
     """Each prompt once with its number of uses; counted before the shuffle."""
-    return keyed.groupBy("prompt_hash").agg(
-        F.first("prompt").alias("prompt"), F.count(F.lit(1)).alias("uses")
-    )
+    return keyed.groupBy("prompt_hash", "prompt").agg(F.count(F.lit(1)).alias("uses"))
 
 
 def _answers(model: Model, prompts: list[str | None]) -> list[Answer]:
     """One answer per prompt, none for a null; an error becomes the status."""
     sent = [p for p in prompts if p is not None]
-    try:
-        answers = list(model(sent)) if sent else []
-    except Exception as error:  # the status column reports it; the job goes on
-        answers = [(None, f"error: {type(error).__name__}")] * len(sent)
-    if len(answers) != len(sent):
-        raise ValueError("a model must return one answer per prompt")
-    answered = iter(answers)
+    answered = iter(one_by_one(model, sent, lambda error: (None, f"{FAILED}{error}")))
     return [(None, None) if p is None else next(answered) for p in prompts]
 
 
+def one_by_one(model: Callable, sent: list, failed: Callable[[str], object]) -> list:
+    """Answers of a model, with ``failed`` for exactly the items it fails on.
+
+    A call that raises, or that does not answer each item, is repeated on both
+    halves, so which items fail does not depend on the size of the batch.
+    """
+    if not sent:
+        return []
+    try:
+        answers = list(model(sent))
+        if len(answers) != len(sent):
+            raise ValueError("a model must return one answer per item")
+        return answers
+    except Exception as error:  # reported item by item; the job goes on
+        if len(sent) == 1:
+            return [failed(type(error).__name__)]
+    half = len(sent) // 2
+    return one_by_one(model, sent[:half], failed) + one_by_one(model, sent[half:], failed)
+
+
 def ask(rows: DataFrame, prompt_col: str, model: Model) -> DataFrame:
     """Replace the prompt by ``result`` and ``status``, row by row and in place.
 
@@ -139,6 +154,11 @@ def batch_infer(
     return back.unionByName(silent, allowMissingColumns=True)
 
 
+def answered(results: DataFrame) -> DataFrame:
+    """Rows that need not be asked again."""
+    return results.filter(~F.startswith(F.coalesce("status", F.lit("")), F.lit(FAILED)))
+
+
 def outcome_counts(results: DataFrame) -> DataFrame:
     """How many rows ended in which status."""
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("n"))

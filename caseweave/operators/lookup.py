@@ -6,6 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS = 1000
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all values as text, by a pass over the rows."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
+    return df.agg(F.sum(width)).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """A broadcast hint for a table that measures below the bound; the rows are the same."""
+    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
 
 
 def lookup(
@@ -13,19 +25,21 @@ def lookup(
 ) -> DataFrame:
     """Inner join of ``rows`` to ``table`` on ``key``, safe for hot keys.
 
-    ``uses`` counts the rows per key.  Keys used by more than one row in
-    ``HOT_KEYS`` are hot, so there are fewer than ``HOT_KEYS`` of them whatever
-    the data: that part is broadcast.  The other keys are joined by a shuffle,
+    ``uses`` counts the rows per key.  Keys used by more rows than a tenth of a
+    task's share are hot, so there are fewer than ten per task whatever the data:
+    that part is broadcast if it is small, else adaptive execution splits their
+    partitions.  The other keys are joined by a shuffle,
     in which rows already answered are spread over all tasks by ``spread_by``.
     ``table`` is read three times and should be staged.
     """
     total = table.agg(F.sum(uses)).first()[0] or 0
     values = [c for c in table.columns if c not in (key, uses)]
-    is_hot = F.col(uses) > F.lit(total / HOT_KEYS)
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_hot = F.col(uses) > F.lit(total / max(HOT_KEYS, 10 * tasks))
     packed = F.struct(*values)
     hot = table.filter(is_hot).select(key, packed.alias("_hot"))
     cold = table.filter(~is_hot).select(F.col(key).alias("_cold_key"), packed.alias("_cold"))
-    with_hot = rows.join(F.broadcast(hot), key, "left").withColumn(
+    with_hot = rows.join(broadcast_if_small(hot), key, "left").withColumn(
         "_join",
         F.when(
             F.col("_hot").isNotNull(),

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,25 +64,56 @@ def refine_matched(
     return todo if batch_size is None else work_batch(todo, batch_size)
 
 
+def _matches(text: Column, pattern: Column) -> Column:
+    """Whether a pattern that may differ in every row occurs; null if it is no pattern.
+
+    Spark ends the job on a pattern that does not compile, so patterns are
+    tried out in Python, where a failure is an answer; plain words never leave
+    the JVM.
+    """
+
+    @F.arrow_udf("boolean")
+    def tried(patterns: pa.Array) -> pa.Array:
+        known: dict[str | None, bool] = {None: False}
+        for p in patterns.to_pylist():
+            if p not in known:
+                try:
+                    re.compile(p)
+                    known[p] = True
+                except re.error:
+                    known[p] = False
+        return pa.array([known[p] for p in patterns.to_pylist()])
+
+    plain = F.regexp_like(pattern, F.lit(r"\A[\p{L}\p{N}_ ]*\z"))
+    usable = F.when(plain, F.lit(True)).otherwise(tried(pattern))
+    return F.when(plain, F.contains(text, pattern)).otherwise(
+        F.regexp_like(text, F.when(usable, pattern))
+    )
+
+
 def alignment_flag(action: Column, title: Column, regex: bool = False) -> Column:
     """``aligned`` when the first title word occurs in the action, else ``review``.
 
-    The word is taken literally; ``regex`` reads it as a pattern instead.  A
-    null on either side means ``review``.
+    The word is taken literally; ``regex`` reads it as a pattern instead, and a
+    word that is no pattern is ``review`` as well.  A null on either side means
+    ``review``.
     """
     word, text = F.lower(first_word(title)), F.lower(action)
-    found = F.regexp_like(text, word) if regex else F.contains(text, word)
+    found = _matches(text, word) if regex else F.contains(text, word)
     return F.when(found, F.lit("aligned")).otherwise(F.lit("review"))
 
 
-def refined_rows(todo: DataFrame, refined_action: Column, regex: bool = False) -> DataFrame:
-    """Rows of the refined table from a column that holds the rewritten action."""
+def refined_rows(
+    todo: DataFrame, refined_action: Column, regex: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Rows of the refined table from a column that holds the rewritten action, and
+    the columns to ``keep``."""
     return todo.withColumn("refined_action", refined_action).select(
         "*",
         alignment_flag(F.col("refined_action"), F.col("policy_title"), regex).alias("alignment"),
-    ).select(*tables.REFINED_ACTIONS.fieldNames())
+    ).select(*tables.REFINED_ACTIONS.fieldNames(), *keep)
 
 
 def refine(todo: DataFrame, model: Model, regex: bool = False) -> DataFrame:
     answered = batch_infer(todo, refine_prompt(), model)
-    return refined_rows(answered, F.col("result"), regex)
+    return refined_rows(answered, F.col("result"), regex, keep=("status", "prompt_hash"))

@@ -50,8 +50,13 @@ def parse_pool(pool: DataFrame) -> DataFrame:
     )
 
 
-def best_pool(parsed: DataFrame, size: int = fv.ANALYSIS_POOL) -> DataFrame:
-    """Matched cases first, nearest first, then by id."""
+def best_pool(parsed: DataFrame, size: int | None = fv.ANALYSIS_POOL) -> DataFrame:
+    """Matched cases first, nearest first, then by id; all summarised cases for ``None``.
+
+    A report of the best cases: rates are taken from the pool itself.
+    """
+    if size is None:
+        return parsed.filter(F.col("summary").isNotNull())
     order = [
         F.desc("policy_matched"), F.asc_nulls_last("cosine_distance"), F.asc("service_request_id")
     ]

@@ -10,6 +10,7 @@ step merges them.  Both ways give the same answer.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 from caseweave import fixed_values as fv
 from caseweave.deploy import ensure_on_workers
+from caseweave.operators.lookup import measured_bytes
+from caseweave.sinks.staging import stage
 from caseweave.functions.nearest import (
     CANDIDATE,
     CANDIDATES_DDL,
@@ -28,6 +31,7 @@ from caseweave.functions.nearest import (
 MAX_BROADCAST_BYTES = 64 << 20
 CHUNK_BYTES = 128 << 20
 
+_ROW = "_query_row"
 _BLOCKS = {"vector": VectorBlock, "tokens": TokenBlock}
 
 
@@ -49,8 +53,9 @@ def nearest(
     """Add an array of the ``k`` nearest catalog rows, nearest first.
 
     ``compare`` is ``vector`` for numeric arrays or ``tokens`` for token arrays.
-    Rows without a usable vector get an empty array.  Query ids must be unique
-    and not null; they are only used when the catalog exceeds the bound.
+    Rows without a usable vector get an empty array.  Above the bound rows are
+    told apart by a number of their own, so null and repeated query ids get the
+    same answers as below it; ``query_id`` is not needed for the search.
     """
     label = F.col(base_label) if base_label else F.lit(None)
     base = catalog.select(
@@ -59,17 +64,27 @@ def nearest(
         F.col(base_on).alias("base_on"),
     )
     ensure_on_workers(queries.sparkSession)
-    size, row_bytes = _extent(base, compare)
+    size = _extent(base, compare)
     if size <= max_broadcast_bytes:
         return _in_place(queries, base, k, query_on, compare, into)
     return _by_cells(
-        queries, base, k, query_id, query_on, compare, into,
-        blocks=-(-size // max_broadcast_bytes), chunk_rows=max(chunk_bytes // row_bytes, 1),
+        queries, base, k, query_on, compare, into,
+        block_count(size, max_broadcast_bytes, compare), chunk_bytes,
     )
 
 
-def _extent(base: DataFrame, compare: str) -> tuple[int, int]:
-    """Bytes the catalog would take as a matrix on an executor, and per row as sent."""
+def block_count(size: int, bound: int, compare: str) -> int:
+    """Blocks that keep each below the bound.
+
+    A block with one row in B holds a share of 1 / B of the vectors, but of
+    1 / B ** 2 of a matrix of rows and tokens.
+    """
+    needed = -(-size // bound)
+    return needed if compare == "vector" else isqrt(needed - 1) + 1
+
+
+def _extent(base: DataFrame, compare: str) -> int:
+    """Bytes the catalog would take as a matrix on an executor."""
     seen = base.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(F.size("base_on")), F.lit(0)).alias("cells"),
@@ -80,7 +95,7 @@ def _extent(base: DataFrame, compare: str) -> tuple[int, int]:
     ).first()
     # A token block is rows x distinct tokens; its token total bounds the latter.
     cells = seen.cells if compare == "vector" else seen.rows * max(seen.cells, 1)
-    return 8 * cells + seen.names, max(8 * seen.cells // max(seen.rows, 1), 8)
+    return 8 * cells + seen.names
 
 
 def _block(compare: str, base: pa.Table):
@@ -104,11 +119,15 @@ def _in_place(queries, base, k, query_on, compare, into) -> DataFrame:
 
 
 def _by_cells(
-    queries, base, k, query_id, query_on, compare, into, blocks: int, chunk_rows: int
+    queries, base, k, query_on, compare, into, blocks: int, chunk_bytes: int
 ) -> DataFrame:
+    # Staged once: what made the query vectors is not asked again, and a row keeps its number.
+    queries = stage(queries.withColumn(_ROW, F.monotonically_increasing_id()), "queries")
     # Every query goes to each block and every base row to each chunk, so chunks
     # are as large as a task can hold.
-    chunks = max(-(-queries.count() // chunk_rows), 1)
+    sent = queries.agg(F.sum(F.size(query_on)) * (8 if compare == "vector" else 16)).first()[0] or 0
+    chunks = max(-(-sent // chunk_bytes), 1)
+    query_id = _ROW
 
     def spread(df, own, own_n, other, other_n):
         return df.withColumn(own, F.pmod(F.xxhash64(df.columns[0]), F.lit(own_n))).withColumn(
@@ -120,7 +139,6 @@ def _by_cells(
         "chunk", chunks, "block", blocks,
     )
     right = spread(base, "block", blocks, "chunk", chunks)
-    id_type = queries.schema[query_id].dataType.simpleString()
 
     def cell(wanted: pa.Table, held: pa.Table) -> pa.Table:
         found = pa.array([], pa.list_(CANDIDATE))
@@ -136,7 +154,7 @@ def _by_cells(
     parts = (
         left.groupBy("chunk", "block")
         .cogroup(right.groupBy("chunk", "block"))
-        .applyInArrow(cell, f"query_id {id_type}, found {CANDIDATES_DDL}")
+        .applyInArrow(cell, f"query_id bigint, found {CANDIDATES_DDL}")
         .select("query_id", F.inline("found"))
     )
     order = Window.partitionBy("query_id").orderBy("distance", "base_id")
@@ -157,8 +175,10 @@ def _by_cells(
             ).alias(into),
         )
     )
-    return queries.join(merged, query_id, "left").withColumn(
-        into, F.coalesce(F.col(into), F.array().cast(CANDIDATES_DDL))
+    return (
+        queries.join(merged, query_id, "left")
+        .withColumn(into, F.coalesce(F.col(into), F.array().cast(CANDIDATES_DDL)))
+        .drop(_ROW)
     )
 
 
@@ -203,7 +223,11 @@ def with_policy(
         "target_theme",
         "source_url",
     )
-    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts.columns), F.lit(0))
-    size = texts.agg(F.sum(width)).first()[0] or 0
-    small = size <= max_broadcast_bytes
-    return rows.join(F.broadcast(texts) if small else texts, "policy_id", how)
+    if measured_bytes(texts) <= max_broadcast_bytes:
+        return rows.join(F.broadcast(texts), "policy_id", how)
+    joined = rows.filter(F.col("policy_id").isNotNull()).join(texts, "policy_id", how)
+    if how == "inner":
+        return joined
+    # Rows without a policy have nothing to look up and would all meet in one task.
+    without = rows.filter(F.col("policy_id").isNull())
+    return joined.unionByName(without, allowMissingColumns=True)

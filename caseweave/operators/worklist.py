@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caseweave.operators.topn import top_n
+
+BROADCAST_KEYS = 100_000
+
 
 def pending(
     todo: DataFrame, done: DataFrame, on: str | Sequence[str] = "service_request_id"
@@ -16,6 +20,24 @@ def pending(
     return todo.join(done.select(*keys), keys, "left_anti")
 
 
+def pending_prompts(keyed: DataFrame, done: DataFrame, key: str = "service_request_id") -> DataFrame:
+    """Rows whose case has no answer yet to the prompt it has now.
+
+    Both sides have a ``prompt_hash``; a null one (nothing to ask) equals itself.
+    """
+    asked, answers = F.coalesce(keyed["prompt_hash"], F.lit("")), done.select(
+        F.col(key).alias("_key"), F.coalesce("prompt_hash", F.lit("")).alias("_hash")
+    )
+    return keyed.join(answers, (keyed[key] == F.col("_key")) & (asked == F.col("_hash")), "left_anti")
+
+
+def current_answers(state: DataFrame, keyed: DataFrame, key: str = "service_request_id") -> DataFrame:
+    """Rows of ``state`` that answer the prompt their case has now, one per case."""
+    now = keyed.select(F.col(key).alias("_key"), F.coalesce("prompt_hash", F.lit("")).alias("_hash"))
+    same = (state[key] == F.col("_key")) & (F.coalesce(state["prompt_hash"], F.lit("")) == F.col("_hash"))
+    return state.join(now, same, "left_semi")
+
+
 def only(
     rows: DataFrame, wanted: DataFrame, on: str = "service_request_id"
 ) -> DataFrame:
@@ -43,5 +65,12 @@ def absent(todo: DataFrame, listed: DataFrame, on: str = "service_request_id") -
 
 
 def work_batch(todo: DataFrame, size: int, key: str = "service_request_id") -> DataFrame:
-    """The next ``size`` rows by key, so a rerun picks the same ones."""
-    return todo.orderBy(key).limit(size)
+    """The next ``size`` rows by key, so a rerun picks the same ones.
+
+    Tasks and lanes keep ``size`` keys each, and only the chosen rows are read
+    again: apply it to bare rows, before any costly column.
+    """
+    chosen = top_n(todo.select(key), size, [F.asc(key)])
+    return todo.join(F.broadcast(chosen), key, "left_semi") if size <= BROADCAST_KEYS else (
+        todo.join(chosen, key, "left_semi")
+    )

@@ -1,8 +1,9 @@
 """The test tables bound to the inputs of the job.
 
 The tables hold no photo links, weak texts or model answers, so deterministic
-rules on the key put those branches in.  Every dataset takes all rows and whole
-texts; ``plans/oracle.py`` states the same definitions in SQL.
+rules on the key put those branches in: every document is a case with its whole
+text, and every page is a further case with a weak text and perhaps a photo.
+``plans/oracle.py`` states the same definitions in SQL.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from caseweave.operators import (
 )
 from caseweave.operators.infer import with_keyword_theme
 from caseweave.sources.requests import normalise_requests
+from caseweave.sinks.staging import stage
 from caseweave.sources.tables import read_table
 
 # Themes of the synthetic texts by the words that occur in them, first hit wins.
@@ -41,6 +43,10 @@ THEME_RULES = (
 TEXT_MAX_DISTANCE = 0.25
 VECTOR_MAX_DISTANCE = 0.75
 COHORT_SIZE = 200
+# Session setting: deal each table out to so many tasks.  For tables of a single row group.
+PIECES = "spark.caseweave.pieces"
+# Pages are cases of their own, numbered from here on.
+PAGE_CASES = 1_000_000_000
 SEED = 42
 
 
@@ -62,7 +68,10 @@ class Bindings:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.folder}/{name}.parquet", SCHEMAS[name])
+        pieces = self.spark.conf.get(PIECES, None)
+        return read_table(
+            self.spark, f"{self.folder}/{name}.parquet", SCHEMAS[name], pieces and int(pieces)
+        )
 
     # --- requests -----------------------------------------------------------
 
@@ -72,11 +81,7 @@ class Bindings:
         key, text, source = F.col("doc_id"), F.col("text"), F.col("source")
         branch = key % 10
         descriptor = (
-            F.when(branch == 0, F.lit(None))
-            .when(branch == 1, F.lit("open"))
-            .when(branch == 2, F.lit("N/A"))
-            .when(branch == 3, F.lit("_-_"))
-            .when(branch == 4, F.concat(text, F.lit(" Case is a  duplicate of "), source))
+            F.when(branch == 4, F.concat(text, F.lit(" Case is a  duplicate of "), source))
             .when(branch == 5, F.concat(text, F.lit(" customer may follow up later")))
             .otherwise(text)
         )
@@ -86,7 +91,7 @@ class Bindings:
             .when(page == 1, F.col("url"))
             .when(page == 2, F.lit(" "))
         )
-        return (
+        documents = (
             d.join(e, key == F.col("event_id"), "left")
             .join(p, key == F.col("page_id"), "left")
             .select(
@@ -102,6 +107,23 @@ class Bindings:
                 media.alias("media_url"),
             )
         )
+        number = F.col("page_id")
+        weak = (
+            F.when(number % 4 == 1, F.lit("open"))
+            .when(number % 4 == 2, F.lit("N/A"))
+            .when(number % 4 == 3, F.lit("_-_"))
+        )
+        pages = p.select(
+            (number + PAGE_CASES).alias("unique_key"),
+            F.lit(None).cast("timestamp_ntz").alias("created_date"),
+            F.when(number % 17 != 0, F.lit("web page")).alias("complaint_type"),
+            F.when(number % 34 != 0, F.lit("site")).alias("category"),
+            weak.alias("descriptor"),
+            F.when(number % 60 == 0, F.lit("Case transferred to web")).alias("status_notes"),
+            F.lit("web").alias("agency_name"),
+            media.alias("media_url"),
+        )
+        return documents.unionByName(pages)
 
     @cached_property
     def cases(self) -> DataFrame:
@@ -133,15 +155,17 @@ class Bindings:
     @cached_property
     def objects(self) -> DataFrame:
         return self.table("pages").select(
-            F.concat(F.lit("img/"), F.col("page_id").cast("string"), F.lit(".jpg")).alias("uri")
+            F.concat(
+                F.lit("img/"), (F.col("page_id") + PAGE_CASES).cast("string"), F.lit(".jpg")
+            ).alias("uri")
         )
 
     @cached_property
     def photo_summaries(self) -> DataFrame:
-        """Photos summarised so far: the pages served over https, by their title."""
-        done = self.table("pages").filter(F.col("url").startswith("https:"))
+        """Photos summarised so far: those of pages with an even number, by their title."""
+        done = self.table("pages").filter(F.col("page_id") % 2 == 0)
         return done.select(
-            F.col("page_id").cast("string").alias("service_request_id"),
+            (F.col("page_id") + PAGE_CASES).cast("string").alias("service_request_id"),
             page_title(F.col("html")).alias("summary_text"),
         )
 
@@ -208,9 +232,7 @@ class Bindings:
 
     @cached_property
     def matched(self) -> DataFrame:
-        return match.matched_triage(
-            self.triage, self.policy_vectors, TEXT_MAX_DISTANCE, trim_theme=True
-        )
+        return self.match(self.triage)
 
     @cached_property
     def matches(self) -> DataFrame:
@@ -225,7 +247,7 @@ class Bindings:
             F.concat(F.lit("theme_"), F.col("label").cast("string")).alias("target_theme"),
             "embedding",
         )
-        return self.policies.drop("target_theme").join(vectors, "policy_id")
+        return vectors.join(self.policies.drop("target_theme"), "policy_id", "left")
 
     @cached_property
     def given_queries(self) -> DataFrame:
@@ -254,14 +276,25 @@ class Bindings:
             F.col("doc_id").cast("string").alias("service_request_id")
         )
 
+    @cached_property
+    def open_triage(self) -> DataFrame:
+        return worklist.pending(self.triage, self.refined_before)
+
     @cached_property
     def refine_todo(self) -> DataFrame:
         """Done cases leave before the search, so only open ones are matched."""
-        open_rows = worklist.pending(self.triage, self.refined_before)
-        matched = match.matched_triage(
-            open_rows, self.policy_vectors, TEXT_MAX_DISTANCE, trim_theme=True
+        return refine.refine_matched(self.match(self.open_triage), batch_size=None)
+
+    def match(self, triage: DataFrame) -> DataFrame:
+        return match.matched_triage(
+            triage, self.policy_vectors, TEXT_MAX_DISTANCE, trim_theme=True
         )
-        return refine.refine_matched(matched, batch_size=None)
+
+    def staged(self, *names: str) -> Bindings:
+        """The same with these datasets written once; what builds on them reads the files."""
+        for name in names:
+            self.__dict__[name] = stage(getattr(self, name), name)
+        return self
 
     @cached_property
     def pool(self) -> DataFrame:

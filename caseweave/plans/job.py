@@ -1,12 +1,17 @@
 """The assembled batch job: raw requests to refined actions and reports.
 
-Stages hand over by table name, as snapshots, views or append-only state.  A
-rerun only asks the models about cases that are not in the state yet.
+Stages hand over by table name, as snapshots, views or append-only state.  State
+rows carry the hash of their prompt and a status: a rerun asks the models about
+cases without an answer to the prompt they have now, so what failed or changed is
+asked again and nothing else.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import partial
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +28,15 @@ from caseweave.operators import (
     reports,
     summaries,
 )
-from caseweave.operators.infer import Model, batch_infer, triage_prompt
-from caseweave.operators.worklist import pending
+from caseweave.operators.infer import (
+    Model,
+    answered,
+    batch_infer,
+    prompt_hash,
+    refine_prompt,
+    triage_prompt,
+)
+from caseweave.operators.worklist import current_answers, pending_prompts, work_batch
 from caseweave.sinks import tables
 from caseweave.sources import reference_rows
 from caseweave.sources.requests import normalise_requests
@@ -33,7 +45,8 @@ from caseweave.sources.requests import normalise_requests
 @dataclass(frozen=True)
 class Models:
     """Callables that answer a list of prompts with (result, status) pairs, and
-    the embedder of texts."""
+    the embedder of texts.  With ``Settings.generation`` its items are passed as
+    keywords."""
 
     photo: Model
     triage: Model
@@ -43,13 +56,14 @@ class Models:
 
 @dataclass(frozen=True)
 class Settings:
-    per_stratum: int = fv.COHORT_PER_STRATUM
+    per_stratum: int | None = fv.COHORT_PER_STRATUM  # None: every eligible case
     seed: int = 42
     neighbours: int = fv.NEIGHBOURS
     max_distance: float = fv.MAX_DISTANCE
     refine_batch: int | None = None
-    analysis_pool: int = fv.ANALYSIS_POOL
+    analysis_pool: int | None = None  # rows of the table of best cases; None: all
     keep_null_text: bool = False
+    generation: Mapping[str, Any] | None = None  # for instance fixed_values.GENERATION
 
 
 @dataclass
@@ -74,6 +88,18 @@ class Job:
     def _replace(self, df: DataFrame, table: str) -> DataFrame:
         return tables.replace_table(df, self.name(table))
 
+    def _model(self, model: Model) -> Model:
+        return partial(model, **self.settings.generation) if self.settings.generation else model
+
+    def _ask(self, keyed: DataFrame, prompt, model: Model, table: str, **options) -> DataFrame:
+        """Answers for the rows of ``keyed`` that the state table has none for."""
+        done = answered(self.table(table))
+        todo = pending_prompts(keyed, done).drop("prompt_hash")
+        return batch_infer(todo, prompt, self._model(model), **options)
+
+    def _current(self, table: str, keyed: DataFrame) -> DataFrame:
+        return current_answers(answered(self.table(table)), keyed)
+
     def run(self) -> None:
         for stage in (
             self.prepare_cases, self.draw_cohort, self.load_reference, self.summarise_photos,
@@ -107,37 +133,42 @@ class Job:
     def summarise_photos(self) -> None:
         """From stored objects when they are given, otherwise from URLs."""
         name = self.name("batch_image_summaries")
-        done = tables.ensure_table(self.spark, name, tables.PHOTO_SUMMARIES)
-        fallback = self.table("batch_fallback_ids")
+        state = tables.ensure_table(self.spark, name, tables.with_outcome(tables.PHOTO_SUMMARIES))
+        nothing, fallback = state.filter(F.lit(False)), self.table("batch_fallback_ids")
         if self.objects is None:
-            todo = media.todo_from_urls(self.spark.table("cases_norm"), fallback, done)
+            wanted = media.todo_from_urls(self.spark.table("cases_norm"), fallback, nothing)
             place = F.col("url")
         else:
-            todo = media.todo_from_objects(self.objects, fallback, done)
+            wanted = media.todo_from_objects(self.objects, fallback, nothing)
             place = F.col("uri")
         prompt = F.concat(F.lit(fv.PHOTO_PROMPT + " "), place)
-        answers = batch_infer(todo, prompt, self.models.photo)
+        keyed = wanted.withColumn("prompt_hash", prompt_hash(prompt))
+        answers = self._ask(keyed, prompt, self.models.photo, "batch_image_summaries")
         tables.append(answers.withColumnRenamed("result", "summary_text"), name)
+        tables.replace_view(self._current("batch_image_summaries", keyed), "photo_summaries")
 
     def _summaries(self, ids: DataFrame) -> DataFrame:
         texts = summaries.text_source_of_cases(
             self.spark.table("cases_norm"), ids, self.settings.keep_null_text
         )
-        return summaries.case_summaries(texts, self.table("batch_image_summaries"))
+        return summaries.case_summaries(texts, self.spark.table("photo_summaries"))
 
     def summarise_cases(self) -> None:
         tables.replace_view(self._summaries(self.table("batch_ids")), "batch_case_summaries")
 
     def triage(self) -> None:
         name = self.name("batch_triage_raw")
-        done = tables.ensure_table(self.spark, name, tables.TRIAGE_RESULTS)
-        # Only open cases are cleaned again, not the whole cohort.
-        todo = self._summaries(pending(self.table("batch_ids"), done))
-        answers = batch_infer(
-            todo.filter(F.col("summary").isNotNull()), triage_prompt(), self.models.triage,
+        tables.ensure_table(self.spark, name, tables.with_outcome(tables.TRIAGE_RESULTS))
+        summarised = self.spark.table("batch_case_summaries").filter(F.col("summary").isNotNull())
+        keyed = self._replace(
+            summarised.withColumn("prompt_hash", prompt_hash(triage_prompt())), "triage_wanted"
+        )
+        answers = self._ask(
+            keyed, triage_prompt(), self.models.triage, "batch_triage_raw",
             shared_prompts=False,  # the prompt holds the case id
         )
         tables.append(answers.withColumnRenamed("result", "triage_result"), name)
+        tables.replace_view(self._current("batch_triage_raw", keyed), "current_triage")
 
     def build_catalog(self) -> None:
         policies = self.table("policy_chunks")
@@ -151,11 +182,8 @@ class Job:
         )
 
     def match(self) -> None:
-        """Triage answers meet the current summaries once; the rest is in the row."""
-        current = self.table("batch_triage_raw").drop("summary", "summary_source").join(
-            self.spark.table("batch_case_summaries").filter(F.col("summary").isNotNull()),
-            "service_request_id",
-        )
+        """Current triage answers carry their summary; all else is in the row."""
+        current = self.spark.table("current_triage").drop("prompt_hash")
         vectors = self._replace(
             embed.embed_cases(embed.search_theme(current), self.models.embed),
             "case_query_embeddings",
@@ -171,20 +199,26 @@ class Job:
 
     def refine(self) -> None:
         name = self.name("batch_triage_policy_refined")
-        done = tables.ensure_table(self.spark, name, tables.REFINED_ACTIONS)
-        open_rows = pending(self.table("triage_matched"), done)
-        todo = refine.refine_matched(open_rows, self.settings.refine_batch)
-        tables.append(refine.refine(self._replace(todo, "triage_todo"), self.models.refine), name)
+        state = tables.ensure_table(self.spark, name, tables.with_outcome(tables.REFINED_ACTIONS))
+        wanted = refine.refine_matched(self.table("triage_matched"), batch_size=None)
+        keyed = wanted.withColumn("prompt_hash", prompt_hash(refine_prompt()))
+        todo = pending_prompts(keyed, answered(state)).drop("prompt_hash")
+        if self.settings.refine_batch is not None:
+            todo = work_batch(todo, self.settings.refine_batch)
+        model = self._model(self.models.refine)
+        tables.append(refine.refine(self._replace(todo, "triage_todo"), model), name)
+        tables.replace_view(
+            self._current("batch_triage_policy_refined", keyed), "current_refined"
+        )
 
     def report(self) -> None:
-        triage, refined = self.table("batch_triage_raw"), self.table("batch_triage_policy_refined")
+        triage, refined = self.spark.table("current_triage"), self.spark.table("current_refined")
         case_summaries = self.spark.table("batch_case_summaries")
         pool = reports.pool_of_matched(case_summaries, self.table("triage_matched"))
-        best = self._replace(
-            reports.best_pool(reports.parse_pool(pool), self.settings.analysis_pool),
-            "analysis_pool",
-        )
-        analysed = self._replace(reports.full_cohort(best), "full_cohort_analysis")
+        parsed = self._replace(reports.parse_pool(pool), "parsed_pool")
+        self._replace(reports.best_pool(parsed, self.settings.analysis_pool), "analysis_pool")
+        # The rates are those of all summarised cases, never of the best ones only.
+        analysed = self._replace(reports.full_cohort(parsed), "full_cohort_analysis")
         views = {
             "v_match_rates": reports.cohort_match_rate(analysed),
             "v_alignment_share": reports.share_of_total(refined),

@@ -32,6 +32,15 @@ def flat(x: str) -> str:
     return trimmed(rf"regexp_replace({blanks}, '\s+', ' ', 'g')")
 
 
+def unboiled(x: str) -> str:
+    """The text up to the first boilerplate phrase of each line."""
+    phrases = "|".join(
+        r"\b" + phrase.replace(" ", r"\s+") if starts_word else phrase
+        for phrase, starts_word in fv.BOILERPLATE_PHRASES
+    )
+    return f"regexp_replace({x}, '(?i)(?:{phrases}).*$', '', 'g')"
+
+
 def weak(x: str) -> str:
     return (
         f"({x} IS NULL OR {x} = '' OR length({x}) < {fv.MIN_TEXT_LENGTH} "
@@ -90,10 +99,7 @@ def action_field(j: str) -> str:
 
 
 def severity_case(s: str) -> str:
-    return (
-        f"(CASE {s} WHEN 'low' THEN 'low' WHEN 'medium' THEN 'medium' "
-        "WHEN 'high' THEN 'high' ELSE 'medium' END)"
-    )
+    return f"(CASE WHEN {s} IN ({_list(fv.SEVERITIES)}) THEN {s} ELSE {text(fv.DEFAULT_SEVERITY)} END)"
 
 
 def stated(template: str, **columns: str) -> str:
@@ -163,25 +169,30 @@ DATASETS: dict[str, str] = {
       SELECT d.doc_id AS unique_key, e.ts AS created_date,
         CASE WHEN d.doc_id % 17 = 0 THEN NULL ELSE e.event_type END AS complaint_type,
         CASE WHEN d.doc_id % 34 = 0 THEN NULL ELSE d.source END AS category,
-        CASE d.doc_id % 10 WHEN 0 THEN NULL WHEN 1 THEN 'open' WHEN 2 THEN 'N/A'
-          WHEN 3 THEN '_-_' WHEN 4 THEN d.text || ' Case is a  duplicate of ' || d.source
+        CASE d.doc_id % 10 WHEN 4 THEN d.text || ' Case is a  duplicate of ' || d.source
           WHEN 5 THEN d.text || ' customer may follow up later' ELSE d.text END AS descriptor,
         CASE WHEN d.doc_id % 60 = 0 THEN 'Case transferred to ' || d.source END AS status_notes,
         d.source AS agency_name,
         CASE p.page_id % 3 WHEN 0 THEN string_split(p.url, '?')[1] || '#.jpg?x=1'
           WHEN 1 THEN p.url WHEN 2 THEN ' ' END AS media_url
       FROM documents d LEFT JOIN events e ON e.event_id = d.doc_id
-        LEFT JOIN pages p ON p.page_id = d.doc_id""",
+        LEFT JOIN pages p ON p.page_id = d.doc_id
+      UNION ALL
+      SELECT page_id + {cases}, NULL, CASE WHEN page_id % 17 <> 0 THEN 'web page' END,
+        CASE WHEN page_id % 34 <> 0 THEN 'site' END,
+        CASE page_id % 4 WHEN 1 THEN 'open' WHEN 2 THEN 'N/A' WHEN 3 THEN '_-_' END,
+        CASE WHEN page_id % 60 = 0 THEN 'Case transferred to web' END, 'web',
+        CASE page_id % 3 WHEN 0 THEN string_split(url, '?')[1] || '#.jpg?x=1'
+          WHEN 1 THEN url WHEN 2 THEN ' ' END
+      FROM pages""".replace("{cases}", str(b.PAGE_CASES)),
     "norm_cases": """
       SELECT CAST(unique_key AS VARCHAR) AS service_request_id, created_date AS requested_datetime,
         coalesce(complaint_type, category) AS request_type,
         coalesce(descriptor, status_notes, complaint_type) AS request_details,
         agency_name AS agency_responsible, media_url FROM raw_requests""",
-    "unboiled": r"""
+    "unboiled": f"""
       SELECT service_request_id, request_type,
-        regexp_replace(regexp_replace(regexp_replace(coalesce(request_details, request_type),
-          '(?i)\bcase\s+transferred.*$', '', 'g'), '(?i)\bcase\s+is\s+a\s+duplicate.*$', '', 'g'),
-          '(?i)customer may follow up.*$', '', 'g') AS txt
+        {unboiled('coalesce(request_details, request_type)')} AS txt
       FROM norm_cases WHERE coalesce(request_details, request_type) IS NOT NULL""",
     "flattened": f"SELECT service_request_id, request_type, {flat('txt')} AS t FROM unboiled",
     "cleaned": rf"""
@@ -205,11 +216,11 @@ DATASETS: dict[str, str] = {
     "candidates_media": f"""
       SELECT service_request_id, media_url FROM norm_cases
       WHERE {present('media_url')} AND {image_url('media_url')}""",
-    "image_objects": "SELECT 'img/' || page_id || '.jpg' AS uri FROM pages",
-    "photo_summaries": r"""
-      SELECT CAST(page_id AS VARCHAR) AS service_request_id,
+    "image_objects": f"SELECT 'img/' || (page_id + {b.PAGE_CASES}) || '.jpg' AS uri FROM pages",
+    "photo_summaries": rf"""
+      SELECT CAST(page_id + {b.PAGE_CASES} AS VARCHAR) AS service_request_id,
         nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS summary_text
-      FROM pages WHERE starts_with(url, 'https:')""",
+      FROM pages WHERE page_id % 2 = 0""",
     "looked_up": r"""
       SELECT uri, service_request_id FROM (
         SELECT uri, nullif(regexp_extract(uri, '(\d+)\.jpg$', 1), '') AS service_request_id
@@ -220,10 +231,9 @@ DATASETS: dict[str, str] = {
         JOIN quality q USING (service_request_id)""",
     "summarised": """
       SELECT t.service_request_id,
-        CASE WHEN NOT is_bad_text THEN complaint_text WHEN is_bad_text AND summary_text IS NOT NULL
-          THEN summary_text END AS summary,
-        CASE WHEN NOT is_bad_text THEN 'text' WHEN is_bad_text AND summary_text IS NOT NULL
-          THEN 'image' ELSE 'none' END AS summary_source
+        CASE WHEN is_bad_text THEN summary_text ELSE complaint_text END AS summary,
+        CASE WHEN NOT is_bad_text THEN 'text' WHEN summary_text IS NULL THEN 'none'
+          ELSE 'image' END AS summary_source
       FROM texts t LEFT JOIN photo_summaries s USING (service_request_id)""",
     "triage": f"""
       SELECT service_request_id, summary, summary_source,
@@ -261,12 +271,11 @@ DATASETS: dict[str, str] = {
             'P' || v.vec_id AS policy_id, 'theme_' || v.label AS target_theme,
             round(list_cosine_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 9)
               AS cosine_distance
-          FROM embeddings q CROSS JOIN embeddings v JOIN benchmark i ON i.item_id = v.vec_id))
-      WHERE rn <= 5""",
+          FROM embeddings q CROSS JOIN embeddings v)) WHERE rn <= 5""",
     "given_candidates": """
       SELECT service_request_id, case_theme, d.text AS summary, policy_id, p.title AS policy_title,
         p.chunk_text AS policy_snippet, g.target_theme, p.source_url, cosine_distance
-      FROM given_ranked g JOIN policies p USING (policy_id)
+      FROM given_ranked g LEFT JOIN policies p USING (policy_id)
         LEFT JOIN documents d ON d.doc_id = service_request_id::BIGINT""",
     **tiers("given_candidates", "given", b.VECTOR_MAX_DISTANCE),
     "refined_before": "SELECT CAST(doc_id AS VARCHAR) AS service_request_id FROM labels",
@@ -320,6 +329,10 @@ DATASETS: dict[str, str] = {
     "nearest_literal": "SELECT policy_id, count(*) AS n_documents FROM ("
     + ranked_cosine("document_buckets", "literal_buckets", "doc_id", "policy_id", "bucket", 1)
     + ") GROUP BY policy_id",
+    "titled": r"""
+      SELECT doc_id, text, title FROM documents LEFT JOIN (SELECT page_id,
+        nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title FROM pages)
+        ON doc_id = page_id""",
     "document_tokens": f"""
       SELECT doc_id, w, count(*) AS n FROM (
         SELECT doc_id, unnest({words('text')}) AS w FROM documents) GROUP BY ALL""",
@@ -431,12 +444,19 @@ SELECTS: dict[str, str] = {
     "refine_prep": "SELECT * FROM to_refine",
     "refine_prep_fused": "SELECT * FROM to_refine",
     "work_batch": "SELECT * FROM to_refine ORDER BY service_request_id LIMIT 200",
-    "alignment_flag": r"""
-      SELECT page_id, title,
+    "alignment_flag": """
+      SELECT doc_id, title,
         CASE WHEN contains(lower(text), lower(string_split(title, ' ')[1])) THEN 'aligned'
           ELSE 'review' END AS alignment
-      FROM (SELECT page_id, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title
-        FROM pages) LEFT JOIN documents ON doc_id = page_id""",
+      FROM titled""",
+    "alignment_regex": """
+      SELECT doc_id, pattern AS title,
+        CASE WHEN starts_with(pattern, '(') THEN 'review'
+          WHEN regexp_matches(lower(text), lower(string_split(pattern, ' ')[1])) THEN 'aligned'
+          ELSE 'review' END AS alignment
+      FROM (SELECT *, CASE doc_id % 4 WHEN 0 THEN '(' || title
+          WHEN 1 THEN regexp_replace(title, '[aeiou]', '.', 'g') ELSE title END AS pattern
+        FROM titled)""",
     "review_examples": """
       SELECT service_request_id, theme, severity, policy_title, source_url,
         original_action AS before_action, refined_action AS after_action, alignment

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseweave.functions.jsonfields import normal_severity, with_triage_fields
-from caseweave.functions.text import first_group, tokens
+from caseweave.functions.text import tokens
 from caseweave.operators import (
     catalog,
     cohort,
@@ -25,7 +25,6 @@ from caseweave.operators import (
 from caseweave.plans import bindings as b
 from caseweave.plans.bindings import Bindings
 from caseweave.sources import reference_rows
-from caseweave.sources.requests import list_objects
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,13 +81,6 @@ def download_manifest(t):
 # --- media and work lists ---------------------------------------------------
 
 
-@query
-def object_listing(t):
-    """Files of the data folder as objects; only names are read."""
-    files = list_objects(t.spark, t.folder, "*.parquet")
-    return files.select(first_group(F.col("uri"), r"([^/]+)\z").alias("name"))
-
-
 @query
 def media_object_lookup(t):
     return media.object_lookup(t.objects, t.fallback)
@@ -274,6 +266,7 @@ def best_match_precise(t):
 
 @query
 def unmatched_cases(t):
+    t = t.staged("given_candidates")  # read by both tiers
     precise = match.best_same_label(t.given_candidates, b.VECTOR_MAX_DISTANCE)
     return match.unmatched(t.given_candidates, precise).select(
         "service_request_id", "policy_id", "cosine_distance"
@@ -282,6 +275,7 @@ def unmatched_cases(t):
 
 @query
 def best_match_global(t):
+    t = t.staged("given_candidates")
     precise = match.best_same_label(t.given_candidates, b.VECTOR_MAX_DISTANCE)
     return match.best_overall(t.given_candidates, precise, b.VECTOR_MAX_DISTANCE)
 
@@ -303,6 +297,7 @@ def case_matches(t):
 @query
 def refine_prep(t):
     """From the separate triage, summary, match and done tables."""
+    t = t.staged("summaries", "triage")
     return refine.refine_prep(
         t.triage, t.summaries, t.matches, t.refined_before, batch_size=None
     )
@@ -316,22 +311,43 @@ def refine_prep_fused(t):
 
 @query
 def work_batch(t):
-    return worklist.work_batch(t.refine_todo, 200)
+    """The batch is picked before the search, so only its rows are matched."""
+    batch = worklist.work_batch(t.staged("triage").open_triage, 200)
+    return refine.refine_matched(t.match(batch), batch_size=None)
 
 
 @query
 def alignment_flag(t):
-    """Does the first word of the page title occur in the document's text?"""
-    pages = t.table("pages").select("page_id", b.page_title(F.col("html")).alias("title"))
-    texts = t.table("documents").select(F.col("doc_id").alias("page_id"), "text")
-    return pages.join(texts, "page_id", "left").select(
-        "page_id", "title", refine.alignment_flag(F.col("text"), F.col("title")).alias("alignment")
+    """Does the first word of the page's title occur in the document's text?"""
+    return _aligned(t, F.col("page_title"))
+
+
+@query
+def alignment_regex(t):
+    """The same with the first word as a pattern; what is no pattern is for review."""
+    title = F.col("page_title")
+    kind = F.col("doc_id") % 4
+    pattern = (
+        F.when(kind == 0, F.concat(F.lit("("), title))
+        .when(kind == 1, F.regexp_replace(title, "[aeiou]", "."))
+        .otherwise(title)
+    )
+    return _aligned(t, pattern, regex=True)
+
+
+def _aligned(t: Bindings, title, regex: bool = False) -> DataFrame:
+    pages = t.table("pages").select("page_id", b.page_title(F.col("html")).alias("page_title"))
+    rows = t.table("documents").join(pages, F.col("doc_id") == F.col("page_id"), "left")
+    titled = rows.select("doc_id", "text", title.alias("title"))
+    return titled.select(
+        "doc_id", "title", refine.alignment_flag(F.col("text"), F.col("title"), regex).alias("alignment")
     )
 
 
 @query
 def review_examples(t):
-    return reports.review_examples(t.refined)
+    # The filter on a computed flag would have the answers parsed once per use.
+    return reports.review_examples(t.staged("refined").refined)
 
 
 @query
@@ -345,6 +361,7 @@ def share_of_total(t):
 @query
 def proto_pool(t):
     """From the three separate tables."""
+    t = t.staged("summaries", "triage")
     return reports.proto_pool(t.summaries, t.triage, t.matches)
 
 
@@ -370,18 +387,19 @@ def cohort_match_rate(t):
 
 @query
 def row_count_audit(t):
+    t = t.staged("prepared", "summaries", "triage", "matched")
     return reports.row_count_audit(
         {
             "01_cases_norm": t.cases,
-            "02_cases_for_classify": t.cleaned,
-            "03_cases_text_quality": t.quality,
-            "04_batch_ids": t.cohort,
+            "02_cases_for_classify": t.prepared.filter("has_text"),
+            "03_cases_text_quality": t.prepared,
+            "04_batch_ids": cohort.eligible(t.prepared),
             "05_batch_case_summaries": t.summaries,
             "06_batch_triage_raw": t.triage,
             "07_policy_chunks": t.policies,
             "08_policy_embeddings": t.policy_vectors,
-            "09_case_query_embeddings": t.case_vectors,
-            "10_batch_policy_matches": t.matches,
-            "11_batch_triage_policy_refined": t.refined,
+            "09_case_query_embeddings": t.case_queries,
+            "10_batch_policy_matches": t.matched.filter("policy_matched"),
+            "11_batch_triage_policy_refined": worklist.pending(t.matched, t.refined_before),
         }
     )

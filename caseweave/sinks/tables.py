@@ -23,6 +23,12 @@ REFINED_ACTIONS = _strings(
 )
 
 
+def with_outcome(schema: T.StructType) -> T.StructType:
+    """A state schema with what tells an answered prompt from a failed or an outdated one."""
+    extra = [c for c in ("status", "prompt_hash") if c not in schema.fieldNames()]
+    return T.StructType([*schema.fields, *_strings(*extra).fields])
+
+
 def replace_table(df: DataFrame, name: str, bucket_by: tuple[int, str] | None = None) -> DataFrame:
     """Create or replace a snapshot; its schema is that of the DataFrame.
 

@@ -4,28 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL_TABLE = 256 << 20
-TINY_TABLE = 256 << 10
-PIECE = 128 << 10
-
 
 def read_table(
-    spark: SparkSession, path: str, schema: str | None = None, spread_below: int = SMALL_TABLE
+    spark: SparkSession, path: str, schema: str | None = None, pieces: int | None = None
 ) -> DataFrame:
-    """A parquet table, split well enough to keep every core busy.
+    """A parquet table.  A given schema saves the job that would infer it.
 
-    One row group is one task, so a small table written in one piece would
-    leave the text work that follows to a single core.  Below a byte bound its
-    rows are dealt out; a large table has row groups enough and is never
-    shuffled here.  A given schema saves the job that would infer it.
+    One row group is one task.  ``pieces`` deals the rows out to so many tasks by
+    a shuffle, for callers who know that a table has fewer row groups than cores.
     """
     reader = spark.read.schema(schema) if schema else spark.read
     table = reader.parquet(path)
-    size = estimated_bytes(table)
-    if TINY_TABLE < size < spread_below:
-        pieces = min(spark.sparkContext.defaultParallelism, -(-size // PIECE))
-        return table.repartition(pieces)
-    return table
+    return table if pieces is None else table.repartition(pieces)
 
 
 def estimated_bytes(df: DataFrame) -> int:

