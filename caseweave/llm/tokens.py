@@ -11,9 +11,16 @@ import re
 from array import array
 from functools import cache
 
-#: Pieces remembered per worker, and the longest one that is.
-REMEMBERED = 700_000
+#: Pieces remembered per worker in each of two generations, and the longest one that is.
+REMEMBERED = 400_000
 LONGEST = 48
+#: What tokenizers and Python see differently, or what may be a special token.
+_UNSURE = "\x1c\x1d\x1e\x1f"
+_ODD_BLANKS = "\t\x0b\x0c\r\x85\xa0"
+_WIDE_BLANKS = re.compile("[  -     　]")
+_GAPS = re.compile(r" ?[^\s]+|\s+(?!\S)|\s+")
+_MARKS = ".,;:!?"
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
 def _letter(c: str) -> str:
@@ -23,13 +30,21 @@ def _letter(c: str) -> str:
     return "".join(chr(b) if b in shown else chr(256 + hidden.index(b)) for b in c.encode())
 
 
-_GAPS = re.compile(r" ?[^\s]+|\s+(?!\S)|\s+")
-_UNSURE = re.compile("[\x1c-\x1f]|<\\|")
-_MARKS = ".,;:!?"
-_PLAIN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
-#: How a byte-level vocabulary writes a blank and the two bytes of the letters above.
-_BYTES = {" ": "Ġ"} | {c: _letter(c) for c in map(chr, range(0xC0, 0x100))}
-_BYTES = {ord(c): w for c, w in _BYTES.items()}
+#: How a byte-level vocabulary writes the two bytes of the letters above.
+_BYTES = {c: _letter(chr(c)) for c in range(0xC0, 0x100)}
+
+
+def _only_simple_blanks(text: str) -> bool:
+    """Whether every gap is a blank or a line feed, or two of them that are two tokens."""
+    if "  " in text or "\n\n\n" in text or "\n \n" in text or text.endswith("\n\n"):
+        return False
+    if any(c in text for c in _ODD_BLANKS):
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return not _WIDE_BLANKS.search(text)
+    return True
 
 
 class Encoder:
@@ -40,58 +55,77 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         # Without a blank in front of a word in its vocabulary, white space only separates.
         self.spaced = self.tokenizer.token_to_id("Ġthe") is not None
-        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.known_marks: dict[str, bytes] = {}
 
-    def pieces(self, text: str) -> list[str]:
-        if _UNSURE.search(text):  # special tokens, and blanks that the libraries see differently
-            return [text]
-        if self.spaced:
-            return _GAPS.findall(text)
-        return text.replace("\n", " ").split(" ")
-
     def encode(self, text: str) -> bytes:
-        pieces = self.pieces(text)
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        parts = list(map(known.get, pieces))
+        if "<|" in text or any(c in text for c in _UNSURE):
+            return self._whole(text)
+        if not self.spaced:
+            return self._joined(text.replace("\n", " ").split(" "), self._word)
+        if _only_simple_blanks(text):
+            # Each piece but the first follows a blank, unless it starts with its line feed.
+            first, *others = text.replace("\n", " \n").split(" ")
+            return self._whole(first) + self._joined(others, self._after_blank)
+        return b"".join(map(self._whole, _GAPS.findall(text)))
+
+    def _joined(self, pieces: list[str], fresh) -> bytes:
+        parts = list(map(self.known.get, pieces))
         if None in parts:
-            parts = [self._fresh(p) if b is None else b for p, b in zip(pieces, parts, strict=True)]
+            parts = [fresh(p) if b is None else b for p, b in zip(pieces, parts, strict=True)]
+            if len(self.known) > REMEMBERED:
+                self.older, self.known = self.known, {}
         return b"".join(parts)
 
-    def _fresh(self, piece: str) -> bytes:
-        word = piece.rstrip(_MARKS)
-        if not _PLAIN.fullmatch(word) or len(piece) > LONGEST:
-            found = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
-            if len(piece) <= LONGEST:
-                self.known[piece] = found
-            return found
-        # One word and its punctuation: the model's own input, without the tokenizer's other steps.
-        marks = piece[len(word) :]
-        if not self.spaced:
-            word = word.lower()
-        found = self.known.get(word)
+    def _whole(self, text: str) -> bytes:
+        """By the tokenizer itself."""
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes() if text else b""
+
+    def _word(self, piece: str) -> bytes:
+        found = self.known.get(piece) or self.older.get(piece)
+        if found is None:
+            word = piece.rstrip(_MARKS)
+            if not (word.isascii() and word.isalpha() or _PLAIN.fullmatch(word)):
+                found = self._whole(piece)
+            else:
+                found = self._plain(word.lower(), "", piece[len(word) :])
+        if len(piece) <= LONGEST:
+            self.known[piece] = found
+        return found
+
+    def _after_blank(self, piece: str) -> bytes:
+        found = self.known.get(piece) or self.older.get(piece)
         if found is None:
-            found = self.known[word] = self._run(word)
-            return found + self._marks(marks) if marks else found
-        found = found + self._marks(marks) if marks else found
-        self.known[piece] = found  # the word came before, so this form of it may come again
+            feed = piece[:1] == "\n"
+            word = (piece[1:] if feed else piece).rstrip(_MARKS)
+            if not (word.isascii() and word.isalpha() or _PLAIN.fullmatch(word)):
+                found = self._whole("\n") + self._whole(piece[1:]) if feed else self._whole(" " + piece)
+            elif feed:
+                found = self._whole("\n") + self._plain(word, "", piece[1 + len(word) :])
+            else:
+                found = self._plain(word, "Ġ", piece[len(word) :])
+        if len(piece) <= LONGEST:
+            self.known[piece] = found
         return found
 
-    def _marks(self, marks: str) -> bytes:
+    def _plain(self, word: str, blank: str, marks: str) -> bytes:
+        """One word and its punctuation: the model's own input, without the tokenizer's other steps."""
+        symbols = blank + (word if word.isascii() else word.translate(_BYTES))
+        ids = [t.id for t in self.model.tokenize(symbols)]
+        found = array("I", ids).tobytes()
+        return found + self._run_of_marks(marks) if marks else found
+
+    def _run_of_marks(self, marks: str) -> bytes:
         if marks not in self.known_marks:
             if len(self.known_marks) > 10_000:
                 self.known_marks.clear()
-            self.known_marks[marks] = self._run(marks)
+            self.known_marks[marks] = array("I", [t.id for t in self.model.tokenize(marks)]).tobytes()
         return self.known_marks[marks]
 
-    def _run(self, symbols: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(symbols.translate(_BYTES))]).tobytes()
-
 
 @cache
 def encoder(path: str) -> Encoder:
