@@ -57,13 +57,17 @@ def prepare(
 
 def clean_text(cases: DataFrame, **settings) -> DataFrame:
     """Readable complaint text per case; cases without any text are dropped."""
-    return (
-        prepare(cases, **settings)
-        .filter("has_text")
-        .select("service_request_id", "complaint_text")
-    )
+    return cleaned_of(prepare(cases, **settings))
 
 
 def text_quality(cases: DataFrame, **settings) -> DataFrame:
     """Flattened text, whether media is at hand and whether the text is unusable."""
-    return prepare(cases, **settings).drop("complaint_text", "has_text")
+    return quality_of(prepare(cases, **settings))
+
+
+def cleaned_of(prepared: DataFrame) -> DataFrame:
+    return prepared.filter("has_text").select("service_request_id", "complaint_text")
+
+
+def quality_of(prepared: DataFrame) -> DataFrame:
+    return prepared.drop("complaint_text", "has_text")

@@ -135,11 +135,11 @@ class Bindings:
 
     @cached_property
     def quality(self) -> DataFrame:
-        return clean.text_quality(self.cases)
+        return clean.quality_of(self.prepared)
 
     @cached_property
     def cleaned(self) -> DataFrame:
-        return clean.clean_text(self.cases)
+        return clean.cleaned_of(self.prepared)
 
     @cached_property
     def cohort(self) -> DataFrame:

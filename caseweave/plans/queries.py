@@ -70,6 +70,8 @@ def fallback_ids(t):
 
 @query
 def text_source(t):
+    """From the three separate tables, all read from one cleaning pass."""
+    t = t.staged("prepared")
     return summaries.text_source(t.cohort, t.cleaned, t.quality)
 
 
