@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseweave.deploy import ensure_on_workers
 from caseweave.llm.hashing import U64, in_batches, mix, prefix_sums, span_hashes
 from caseweave.llm.native import whole_text
 from caseweave.llm.runs import by_runs
+from caseweave.llm.workers import prepare, tidy
 from caseweave.sinks.staging import stage
 from caseweave.sources.tables import estimated_bytes
 
@@ -143,9 +143,10 @@ def one_text_per_id(rows: DataFrame) -> DataFrame:
 def find_phrases(rows: DataFrame, strings: Strings, hot: np.ndarray | None = None) -> DataFrame:
     """(task, content, id, place) of every phrase; ``place`` is packed and says if it is hot
     or, found in the same batch already, repeats as a whole."""
-    ensure_on_workers(rows.sparkSession)
+    prepare(rows.sparkSession)
     hot = np.zeros(0, U64) if hot is None else np.sort(hot)
 
+    @tidy
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts, ids = batch["body"].tolist(), batch["id"].to_numpy()
@@ -204,6 +205,7 @@ def classify(phrases: DataFrame, strings: Strings) -> DataFrame:
     """(id, place, task, kind) of phrases that repeat as a whole or may repeat in part."""
     across = strings.across
 
+    @tidy
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in by_runs(batches, "task"):
             task, content = batch["task"].to_numpy(), batch["content"].to_numpy()
@@ -239,6 +241,7 @@ def send_contexts(texts: DataFrame, strings: Strings) -> DataFrame:
     the symbols of each phrase that may repeat in part; a hot one goes string by string."""
     length = strings.length
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bodies = batch["body"].to_pylist()
@@ -292,6 +295,7 @@ def compare_contexts(contexts: DataFrame, repeated: Callable[..., np.ndarray]) -
     triggers, the ends of each context in them, ids, starts and numbers of strings, and
     says for each string, in order, whether it repeats."""
 
+    @tidy
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in by_runs(batches, "task"):
             batch = batch.drop_duplicates(["id", "start", "many"])  # rows that the table repeats

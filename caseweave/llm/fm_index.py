@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from caseweave.llm.anchors import NULL_ID, Strings, keyed, repeated_strings, unpack
 from caseweave.llm.hashing import U64, in_batches, words_of
+from caseweave.llm.workers import tidy
 
 WINDOW = 13
 GRAM = 5
@@ -162,6 +163,7 @@ def remove_repeats(
     strings = Strings(words_of, window, gram, across=True)
     marked = repeated_strings(keyed(docs, id_col, text_col), strings, repeated_words(window))
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bodies, ids = batch["body"].to_pylist(), batch["id"].to_numpy()

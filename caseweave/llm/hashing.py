@@ -11,7 +11,7 @@ U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(BASE, -1, 1 << 64)
 #: Texts are hashed in batches of about so many characters; a longer text is a batch of its own.
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 1 << 20
 _powers = [np.ones(1, U64), np.ones(1, U64)]
 
 

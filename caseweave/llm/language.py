@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from caseweave.deploy import ensure_on_workers
+from caseweave.llm.workers import kept, prepare, tidy
+
 
 #: Bounds of the labelled sample: at most about this many characters and texts per language.
 CHARS_PER_LANGUAGE = 60_000
@@ -28,7 +29,7 @@ TEXTS_PER_LANGUAGE = 200
 #: The most frequent letters have codes of their own; the others share one.
 ALPHABET = 120
 SEGMENT = 1024
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 2 << 20
 UNDETERMINED = "und"
 RESULT = "lang string, score double, phrases_per_char double"
 
@@ -92,9 +93,8 @@ class Automata:
 
 def _letters() -> tuple[np.ndarray, np.ndarray]:
     """For each code point its lower-case form and whether it is a letter."""
-    everything = [chr(i) for i in range(0x110000)]
-    lower = np.fromiter((ord(c.lower()[0]) for c in everything), np.uint32, 0x110000)
-    letter = np.fromiter((c.isalpha() for c in everything), bool, 0x110000)
+    lower = np.fromiter((ord(chr(i).lower()[0]) for i in range(0x110000)), np.uint32, 0x110000)
+    letter = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
     return lower, letter
 
 
@@ -214,15 +214,9 @@ def count_phrases(automata: Automata, texts: list[str]) -> tuple[np.ndarray, np.
     return total.T, sizes, letters
 
 
-_built: dict[str, Automata] = {}
-
-
 def automata_of(profile: Profile) -> Automata:
     """Built once per worker process."""
-    if profile.key not in _built:
-        _built.clear()
-        _built[profile.key] = build(profile)
-    return _built[profile.key]
+    return kept(profile.key, lambda: build(profile))
 
 
 def identify(automata: Automata, texts: list[str | None]) -> pd.DataFrame:
@@ -259,15 +253,17 @@ def language_of(text: Column, profile: Profile) -> Column:
     a tie (score 0) the first language by name is given.  With one learned
     language the score is 1.  Whole texts are parsed.
     """
-    ensure_on_workers()
+    prepare()
 
     @pandas_udf(RESULT)
+    @tidy
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         automata = automata_of(profile)
         for batch in batches:
             yield identify(automata, batch.tolist())
 
-    return predict(text)
+    # Declared non-deterministic only so that filters above do not copy the call.
+    return predict.asNondeterministic()(text)
 
 
 def held_out(id_: Column) -> Column:

@@ -22,11 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from caseweave.deploy import ensure_on_workers
 from caseweave.llm.components import components
 from caseweave.llm.hashing import U64, in_batches, mix, runs_of, words_of
 from caseweave.llm.native import join_groups, whole_text
 from caseweave.llm.runs import by_runs
+from caseweave.llm.workers import prepare, tidy
 from caseweave.sinks.staging import stage
 from caseweave.sources.tables import estimated_bytes
 
@@ -136,9 +136,10 @@ def _signed(texts: list[str]) -> pd.DataFrame:
 
 def signature_of(text: Column) -> Column:
     """A struct (many, k1, k2, sig) per text; k1 and k2 tell apart texts with different words."""
-    ensure_on_workers()
+    prepare()
 
     @pandas_udf("many int, k1 bigint, k2 bigint, sig binary")
+    @tidy
     def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch.tolist()
@@ -149,9 +150,10 @@ def signature_of(text: Column) -> Column:
 
 def shingle_set(text: Column) -> Column:
     """The distinct shingle hashes of a text, sorted, as 64-bit numbers in a binary."""
-    ensure_on_workers()
+    prepare()
 
     @pandas_udf("binary")
+    @tidy
     def collect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             texts, sets = batch.tolist(), []
@@ -189,7 +191,7 @@ def _pairs(groups: np.ndarray, sides: np.ndarray) -> Iterator[tuple[np.ndarray,
         cross = alive[(sides[alive] == 2) | (sides[alive] != sides[alive + step])]
         held.append((cross, cross + step))
         size += len(cross)
-        if size > 200_000:
+        if size > 50_000:
             yield tuple(map(np.concatenate, zip(*held, strict=True)))
             held, size = [], 0
     if size:
@@ -305,6 +307,7 @@ def near_classes(
         .join(reps.select("id", "copies", "sig"), "id")
     )
 
+    @tidy
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in by_runs(batches, "cell"):
             sigs = np.frombuffer(b"".join(batch["sig"]), np.uint16).reshape(len(batch), HASHES)
@@ -334,6 +337,7 @@ def near_classes(
         "near-candidates",
     )
 
+    @tidy
     def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in by_runs(batches, "cell"):
             batch = batch.drop_duplicates(["cell", "id"])  # rows that the table repeats

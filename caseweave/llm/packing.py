@@ -18,14 +18,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from caseweave.deploy import ensure_on_workers
 from caseweave.llm.native import whole_text
 from caseweave.llm.tokens import encoder
+from caseweave.llm.workers import prepare, tidy
 from caseweave.sinks.staging import stage
 
 CAPACITY = 2048
 END_ID = 0
-RANKED_TOGETHER = 1 << 16
+RANKED_TOGETHER = 1 << 12
 
 
 @dataclass(frozen=True)
@@ -75,9 +75,10 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Slots]:
 
 def token_pieces(text: Column, tokenizer: str, capacity: int, end_id: int | None) -> Column:
     """A struct for each text: its number of ids and the crc32 of each piece."""
-    ensure_on_workers()
+    prepare()
 
     @pandas_udf("ids bigint, crcs array<bigint>")
+    @tidy
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encode = encoder(tokenizer).encode
         end = b"" if end_id is None else end_id.to_bytes(4, "little")

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from caseweave.llm.anchors import NULL_ID, Strings, keyed, repeated_strings, unpack
 from caseweave.llm.hashing import U64, in_batches
+from caseweave.llm.workers import tidy
 
 LENGTH = 100
 GRAM = 24
@@ -94,6 +95,7 @@ def remove_repeats(
     strings = Strings(byte_symbols, length, gram, across=False)
     marked = repeated_strings(keyed(docs, id_col, text_col), strings, repeated_bytes(length))
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bodies, ids = batch["body"].to_pylist(), batch["id"].to_numpy()

@@ -21,9 +21,9 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caseweave.deploy import ensure_on_workers
 from caseweave.llm.native import text_bytes, whole_text
 from caseweave.llm.tokens import encoder
+from caseweave.llm.workers import prepare, tidy
 from caseweave.sinks.staging import shared_folder, stage
 
 END_ID = 2
@@ -83,32 +83,33 @@ def write_records(
     Shards are ranges of ids, about ``shard_bytes`` of table each.  A task
     writes under a name of its own and only names in the manifest count, so a
     task that is lost or runs twice does no harm.  ``width`` is the bytes per
-    id; an id that does not fit is an error.  Null ids come first; rows with
+    id; a vocabulary that does not fit is an error.  Null ids come first; rows with
     one id are ordered by their text; null texts are empty.
     """
-    ensure_on_workers(docs.sparkSession)
+    prepare(docs.sparkSession)
     shards = max(1, -(-text_bytes(docs, text_col) // shard_bytes))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("body"))
     ordered = rows.repartitionByRange(shards, F.col("id").asc_nulls_first()).sortWithinPartitions(
         F.col("id").asc_nulls_first(), "body"
     )
 
+    @tidy
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
         name = f"{shard:06d}-{uuid.uuid4().hex}"
         files, path = fs.FileSystem.from_uri(folder)
-        encode, end = encoder(tokenizer).encode, end_id.to_bytes(4, "little")
+        coder, end = encoder(tokenizer), end_id.to_bytes(4, "little")
+        if width == 2 and coder.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("the vocabulary needs more than 16 bits")
         offsets, at, tokens, stream = [], 0, 0, None
         for batch in batches:
             for doc_id, text in zip(batch["id"], batch["body"], strict=True):
                 if stream is None:
                     files.create_dir(path, recursive=True)
                     stream = files.open_output_stream(f"{path}/{name}.rec", buffer_size=1 << 20)
-                ids = encode(text) + end
-                if width == 2 and np.frombuffer(ids, "<u4").max() > 0xFFFF:
-                    raise ValueError("a token id needs more than 16 bits")
+                ids = coder.encode(text) + end
                 data = frame(pack_payload(None if pd.isna(doc_id) else int(doc_id), ids, width))
                 stream.write(data)
                 offsets.append(at)
@@ -129,12 +130,13 @@ def write_records(
 def read_records(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 of each
     record, read from the files and checked against their checksums."""
-    ensure_on_workers(spark)
+    prepare(spark)
     # One row per file: few, so one task adds them up.
     placed = manifest.withColumn(
         "base", F.sum("tokens").over(Window.orderBy("shard")) - F.col("tokens")
     ).repartition(max(1, manifest.count()), "file")
 
+    @tidy
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         files, path = fs.FileSystem.from_uri(folder)
         for batch in batches:
