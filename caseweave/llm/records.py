@@ -28,6 +28,8 @@ from caseweave.sinks.staging import shared_folder, stage
 
 END_ID = 2
 SHARD_BYTES = 16 << 20
+#: Pieces remembered per worker: more than elsewhere, as nothing else is held here.
+REMEMBERED = 800_000
 MASK = 0xA282EAD8  # the usual constant of masked checksums in record files
 MANIFEST = "shard int, file string, records bigint, tokens bigint, width int"
 _LENGTH, _CRC, _HEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<?q")
@@ -100,7 +102,7 @@ def write_records(
         shard = TaskContext.get().partitionId()
         name = f"{shard:06d}-{uuid.uuid4().hex}"
         files, path = fs.FileSystem.from_uri(folder)
-        coder, end = encoder(tokenizer), end_id.to_bytes(4, "little")
+        coder, end = encoder(tokenizer, REMEMBERED), end_id.to_bytes(4, "little")
         if width == 2 and coder.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("the vocabulary needs more than 16 bits")
         offsets, at, tokens, stream = [], 0, 0, None

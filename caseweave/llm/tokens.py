@@ -51,7 +51,8 @@ def _only_simple_blanks(text: str) -> bool:
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
+        self.remembered = REMEMBERED if remembered is None else remembered
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -92,7 +93,7 @@ class Encoder:
             parts[at] = fresh(pieces[at])
             at = parts.index(None, at + 1)
         parts.pop()
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.older, self.known = self.known, {}
         return b"".join(parts)
 
@@ -145,6 +146,6 @@ class Encoder:
         return self.known_marks[marks]
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int | None = None) -> Encoder:
     """One per worker process."""
-    return kept(("encoder", path), lambda: Encoder(path))
+    return kept(("encoder", path, remembered), lambda: Encoder(path, remembered))
