@@ -4,6 +4,11 @@ Words are hashed, each run of ``gram`` words gets a hash, and of every window of
 ``window`` such hashes the smallest is kept, the rightmost one on a tie, together
 with its position.  Two texts that share ``gram + window - 1`` consecutive words
 share a kept hash, whatever stands around them.
+
+Unless a window is given, it is WINDOW for long texts and an eighth of the number
+of hashes for shorter ones, down to 1, so that a short text keeps more than one
+hash.  What a wide window keeps, narrower ones keep too: texts of different
+windows still share a hash if they share ``gram + window - 1`` words of the wider.
 """
 
 from __future__ import annotations
@@ -15,6 +20,8 @@ from caseweave.llm.native import let, text_bytes, whole_text
 
 GRAM = 5
 WINDOW = 16
+#: A text keeps about twice as many hashes as it has windows side by side.
+WINDOWS = 8
 #: A letter of a script without blanks is a word of its own.
 WORDS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]|[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]]+"
 POSITION_BITS = 30
@@ -43,7 +50,12 @@ def grams(text: Column, gram: int = GRAM) -> Column:
     return let(words, runs)
 
 
-def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
+def own_window(size: Column) -> Column:
+    """The window of a text of ``size`` hashes."""
+    return F.greatest(F.lit(1), F.least(F.lit(WINDOW), F.floor(size / WINDOWS).cast("int")))
+
+
+def winnow(text: Column, gram: int = GRAM, window: int | None = None) -> Column:
     """The kept (hash, position) pairs of a text by position, as an array of structs.
 
     A window compares the low 33 bits of the hash, packed above the reversed
@@ -59,11 +71,15 @@ def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
 
         def minima(keys: Column) -> Column:
             size = F.size(keys)
-            moving = F.transform(
-                F.slice(keys, 1, F.greatest(size - window + 1, F.lit(0))),
-                lambda _, i: F.array_min(F.slice(keys, i + 1, window)),
+            width = own_window(size) if window is None else F.lit(window)
+            moving = let(
+                width,
+                lambda wide: F.transform(
+                    F.slice(keys, 1, F.greatest(size - wide + 1, F.lit(0))),
+                    lambda _, i: F.array_min(F.slice(keys, i + 1, wide)),
+                ),
             )
-            return F.when(size > window, moving).when(size > 0, F.array(F.array_min(keys))).otherwise(keys)
+            return F.when(size > width, moving).when(size > 0, F.array(F.array_min(keys))).otherwise(keys)
 
         position = lambda key: (F.lit(last) - key.bitwiseAND(F.lit(last))).cast("int")
         return F.transform(
@@ -96,7 +112,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def fingerprints(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, window: int = WINDOW
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, window: int | None = None
 ) -> DataFrame:
     """One row per kept hash: id, hash, position (of its first word, counted in words).
 
@@ -137,7 +153,7 @@ def compare_with_next(
     id_col: str = "doc_id",
     text_col: str = "text",
     gram: int = GRAM,
-    window: int = WINDOW,
+    window: int | None = None,
     range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """Each text, its edit, and the next document by ascending id.

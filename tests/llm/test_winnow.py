@@ -26,6 +26,26 @@ def test_windows_and_ties_against_brute_force(table, prose, oddities):
         assert [tuple(p) for p in row["w"]] == brute(row["g"], 4)
 
 
+def test_short_texts_keep_what_an_edit_leaves(table, rows):
+    words = [f"w{i}" for i in range(200)]
+    given = [(n, " ".join(words[:n])) for n in (9, 12, 16, 20, 24, 36, 80)]
+    given += [(1000 + n, " ".join(words[: n - n // 4] + [f"new{i}" for i in range(n // 4)])) for n, _ in given]
+    kept = fingerprints(table(given)).groupBy("hash").agg(F.collect_set("doc_id").alias("ids")).where("size(ids) > 1")
+    shared = {i for r in kept.collect() for i in r["ids"] if i < 1000 and i + 1000 in r["ids"]}
+    assert shared == {n for n, _ in given if n < 1000}
+    near = dict(rows(compare_with_next(table([(1, given[3][1]), (2, "other words stand here " * 3)])), "doc_id", "near_edited"))
+    assert 0 < near[1] < 1
+
+
+def test_own_windows_nest(table):
+    text = " ".join(f"w{i * i % 97}" for i in range(300))
+    df = table([(1, text)])
+    body, kept = F.col("text"), {}
+    for window in (None, 1, 2, 4, 8, 16):
+        kept[window] = {tuple(p) for p in df.select(winnow(body, window=window).alias("w")).first()["w"]}
+    assert kept[None] == kept[16] and kept[16] < kept[8] < kept[4] < kept[2] < kept[1]
+
+
 def test_word_hashes_are_plain_ones(table):
     word = lambda w: xxhash.xxh64_intdigest(w.encode(), seed=42)
     got = table([(1, "Ab, cd!")]).select(grams(F.col("text"), 1).alias("g")).first()["g"]
