@@ -389,19 +389,20 @@ def cohort_match_rate(t):
 
 @query
 def row_count_audit(t):
-    t = t.staged("prepared", "summaries", "triage", "matched")
+    """Counts the tables themselves, each written once, not what they are made from."""
+    t = t.staged("prepared", "quality", "summaries", "triage", "case_vectors", "matched", "refined")
     return reports.row_count_audit(
         {
             "01_cases_norm": t.cases,
-            "02_cases_for_classify": t.prepared.filter("has_text"),
-            "03_cases_text_quality": t.prepared,
-            "04_batch_ids": cohort.eligible(t.prepared),
+            "02_cases_for_classify": t.cleaned,
+            "03_cases_text_quality": t.quality,
+            "04_batch_ids": t.cohort,
             "05_batch_case_summaries": t.summaries,
             "06_batch_triage_raw": t.triage,
             "07_policy_chunks": t.policies,
             "08_policy_embeddings": t.policy_vectors,
-            "09_case_query_embeddings": t.case_queries,
+            "09_case_query_embeddings": t.case_vectors,
             "10_batch_policy_matches": t.matched.filter("policy_matched"),
-            "11_batch_triage_policy_refined": worklist.pending(t.matched, t.refined_before),
+            "11_batch_triage_policy_refined": t.refined,
         }
     )

@@ -225,3 +225,23 @@ def test_rates_are_those_of_all_cases_and_generation_is_passed_on(spark, cases):
         assert refined.original_action == "t0.0" and refined.refined_action in (None, "2 settings")
     finally:
         job.reset_state()
+
+
+def test_audit_counts_the_tables_it_names(spark, monkeypatch):
+    from caseweave.operators import clean, embed
+    from caseweave.plans.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    whole = dict(map(tuple, QUERIES["row_count_audit"](spark, folder).collect()))
+    for module, name in ((clean, "quality_of"), (embed, "embed_cases"), (refine, "refined_rows")):
+        made = getattr(module, name)
+        lossy = lambda *given, made=made, **options: made(*given, **options).where("service_request_id != '1'").limit(7)
+        monkeypatch.setattr(module, name, lossy)
+        counted = dict(map(tuple, QUERIES["row_count_audit"](spark, folder).collect()))
+        monkeypatch.undo()
+        table = {
+            "quality_of": "03_cases_text_quality",
+            "embed_cases": "09_case_query_embeddings",
+            "refined_rows": "11_batch_triage_policy_refined",
+        }[name]
+        assert counted[table] == 7 < whole[table]
