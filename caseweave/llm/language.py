@@ -52,12 +52,15 @@ def fit(
     id_col: str = "doc_id",
     chars: int = CHARS_PER_LANGUAGE,
     texts: int = TEXTS_PER_LANGUAGE,
+    doubt_labels: bool = False,
 ) -> Profile:
     """A profile from a bounded sample of the rows with a text and a label.
 
     Texts are picked by a hash of their id, about ``texts`` of each language and
     an equal piece of each, so that a language contributes about ``chars``
-    characters however many rows it has.  Fewer texts give longer pieces.
+    characters however many rows it has.  Fewer texts give longer pieces.  With
+    ``doubt_labels``, pieces that the other half of the sample finds to be in
+    another language are left out, so that wrong labels do not teach themselves.
     """
     usable = labelled.select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("body"), F.xxhash64(id_col).alias("turn")
@@ -76,9 +79,23 @@ def fit(
     gathered: dict[str, list[str]] = {k: [] for k in counts}
     for row in sorted(picked, key=lambda r: (r["lang"], r["turn"])):
         gathered[row["lang"]].append(row["body"])
+    if doubt_labels:
+        gathered = _undisputed(gathered)
     return Profile(tuple((k, "\n".join(v)[:chars]) for k, v in sorted(gathered.items())))
 
 
+def _undisputed(gathered: dict[str, list[str]]) -> dict[str, list[str]]:
+    """The pieces whose label the other half agrees with; all of them if it knows no better."""
+    halves = [{k: v[h::2] for k, v in gathered.items()} for h in (0, 1)]
+    kept_: dict[str, list[str]] = {k: [] for k in gathered}
+    for own, other in (halves, halves[::-1]):
+        judges = build(Profile(tuple((k, "\n".join(v)) for k, v in sorted(other.items()) if v)))
+        for k, pieces in own.items():
+            found = identify(judges, pieces)["lang"] if pieces else []
+            kept_[k] += [p for p, lang in zip(pieces, found, strict=True) if lang in (k, UNDETERMINED) or k not in judges.languages]
+    return {k: kept_[k] or v for k, v in gathered.items()}
+
+
 @dataclass
 class Automata:
     """All languages in one table: ``table[state + code]`` is the next state, or its

@@ -28,6 +28,20 @@ def test_language_rejects_only_what_has_no_letters(staged):
     assert kept.set_index("doc_id").loc[9002, "lang"] in {"en", "de", "fr", "es"}
 
 
+def test_wrong_labels_are_replaced_and_right_ones_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang is not null").toPandas()
+    swapped = docs[docs["text"].str.len().gt(300)].iloc[::10].index  # enough text to be clear
+    given = docs.copy()
+    given.loc[swapped, "lang"] = given.loc[swapped, "lang"].map({"en": "de", "de": "fr", "fr": "es", "es": "en"})
+    unknown = docs["doc_id"].max() + 1
+    given.loc[len(given)] = docs.iloc[swapped[0]].to_dict() | {"doc_id": unknown, "lang": "xx"}
+    kept = corpus_pipeline.identify_language(spark, spark.createDataFrame(given), "").toPandas().set_index("doc_id")["lang"]
+    want = docs.set_index("doc_id")["lang"]
+    assert len(swapped) >= 5 and (kept[want.index] == want).mean() >= 0.99
+    assert (kept[docs.loc[swapped, "doc_id"]] == want[docs.loc[swapped, "doc_id"]]).mean() >= 0.8  # none before
+    assert kept[unknown] == "xx"
+
+
 def test_exact_copies_leave_the_largest_id(staged):
     before, after = staged[1], staged[2]
     assert set(after["doc_id"]) == set(before.groupby("text")["doc_id"].max())
