@@ -34,12 +34,10 @@ from caseweave.llm.native import whole_text
 from caseweave.llm.runs import by_runs
 from caseweave.llm.workers import prepare, tidy
 from caseweave.sinks.staging import stage
-from caseweave.sources.tables import estimated_bytes
 
 WHOLE, PARTLY = 1, 2
 SAMPLE = 64
 HOT_COUNT, HOT_SHARE = 20, 2000
-SMALL_IDS = 8 << 20
 NULL_ID = -(1 << 63)
 _SPREAD = 64
 
@@ -127,17 +125,44 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def one_text_per_id(rows: DataFrame) -> DataFrame:
-    """Adds ``judged``: false for rows whose id also has a text with a smaller hash."""
-    turn = F.xxhash64("body")
+def one_text_per_id(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` with an id of its own for each id and text and for each row without an
+    id, in the order of ids and then of text hashes; and the given id of each (id, given).
+
+    Where each id has one text already, rows stay as they are and there is no second table.
+    """
+    turn, digest, nobody = F.xxhash64("body"), F.sha2("body", 256), F.col("id") == NULL_ID
     several = (
-        rows.groupBy("id").agg(F.min(turn).alias("least"), F.max(turn).alias("most")).where("least < most")
+        rows.groupBy("id")
+        .agg(F.min(turn).alias("least"), F.max(turn).alias("most"), F.count_if(nobody).alias("nobody"))
+        .where("least < most or nobody > 1")
     )
-    several = stage(several.select("id", "least"), "repeated-ids")
     if several.isEmpty():
-        return rows.withColumn("judged", F.lit(True))
-    small = F.broadcast(several) if estimated_bytes(several) < SMALL_IDS else several
-    return rows.join(small, "id", "left").withColumn("judged", F.coalesce(turn == F.col("least"), F.lit(True))).drop("least")
+        return rows, None
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    marked = rows.withColumn("turn", turn).withColumn("digest", digest)
+    dealt = marked.repartitionByRange(parts, "id", "turn", "digest").sortWithinPartitions("id", "turn", "digest")
+    # Partitions follow each other as the ids do, so the numbers rise with (id, turn, digest).
+    numbered = stage(dealt.withColumn("row", F.monotonically_increasing_id()), "own-ids")
+    again = (
+        numbered.where(~nobody)
+        .groupBy("id", "turn", "digest")
+        .agg(F.min("row").alias("first"), F.count("*").alias("many"))
+        .where("many > 1")
+        .drop("many")
+    )
+    owned = numbered.join(again, ["id", "turn", "digest"], "left").withColumn("own", F.coalesce("first", "row"))
+    given = F.when(~nobody, F.col("id"))
+    names = stage(owned.select(F.col("own").alias("id"), given.alias("given")).distinct(), "own-names")
+    return owned.select(F.col("own").alias("id"), "body"), names
+
+
+def given_ids(out: DataFrame, names: DataFrame | None, id_col: str) -> DataFrame:
+    """``out`` with the given id as ``id_col`` in place of ``id``."""
+    rest = [c for c in out.columns if c != "id"]
+    if names is None:
+        return out.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias(id_col), *rest)
+    return out.join(names, "id").select(F.col("given").alias(id_col), *rest)
 
 
 def find_phrases(rows: DataFrame, strings: Strings, hot: np.ndarray | None = None) -> DataFrame:
@@ -318,12 +343,11 @@ def compare_contexts(contexts: DataFrame, repeated: Callable[..., np.ndarray]) -
 
 def repeated_strings(
     rows: DataFrame, strings: Strings, repeated: Callable[..., np.ndarray]
-) -> DataFrame:
-    """(id, body, judged, places): every row of ``rows`` (id, body) with the packed runs of
-    string starts that repeat (null if none)."""
-    rows = one_text_per_id(rows)
-    judged = rows.where("judged")
-    found = stage(classify(find_phrases(judged, strings, hot_triggers(judged, strings)), strings), "phrases")
+) -> tuple[DataFrame, DataFrame | None]:
+    """(id, body, places): every row of ``rows`` (id, body) with the packed runs of string
+    starts that repeat (null if none); and what ``given_ids`` needs."""
+    rows, names = one_text_per_id(rows)
+    found = stage(classify(find_phrases(rows, strings, hot_triggers(rows, strings)), strings), "phrases")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Used twice, shuffled once: both joins below need the same exchange.
     texts = rows.repartition(parts, "id")
@@ -332,7 +356,7 @@ def repeated_strings(
         .groupBy("id")
         .agg(F.collect_list(F.struct("place", "task")).alias("parts"))
     )
-    contexts = send_contexts(texts.join(partly, "id").where("judged").select("id", "body", "parts"), strings)
+    contexts = send_contexts(texts.join(partly, "id").select("id", "body", "parts"), strings)
     runs = found.where(F.col("kind") == WHOLE).select("id", "place").unionByName(compare_contexts(contexts, repeated))
     places = runs.groupBy("id").agg(F.collect_list("place").alias("places"))
-    return texts.join(places, "id", "left")
+    return texts.join(places, "id", "left"), names

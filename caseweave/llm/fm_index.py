@@ -17,9 +17,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from caseweave.llm.anchors import NULL_ID, Strings, keyed, repeated_strings, unpack
+from caseweave.llm.anchors import Strings, given_ids, keyed, repeated_strings, unpack
 from caseweave.llm.hashing import U64, in_batches, words_of
 from caseweave.llm.workers import tidy
 
@@ -157,11 +156,12 @@ def remove_repeats(
     white space, unchanged.  ``spans`` holds the (start, end) of removed runs
     in words; ``with_kept`` adds the kept words joined by blanks.  Null texts
     have no words; shorter texts stay whole.  A null id counts as the smallest.
-    Rows that repeat id and text get one verdict; if an id has several texts,
-    the one with the smallest hash is judged and the others stay whole.
+    Rows that repeat id and text get one verdict.  Several texts of one id follow
+    each other by their hashes, each a document; so do rows without an id, also
+    those of one text.
     """
     strings = Strings(words_of, window, gram, across=True)
-    marked = repeated_strings(keyed(docs, id_col, text_col), strings, repeated_words(window))
+    marked, given = repeated_strings(keyed(docs, id_col, text_col), strings, repeated_words(window))
 
     @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +208,5 @@ def remove_repeats(
         "id bigint, n_words bigint, n_removed bigint, kept_sha256 string, "
         "spans array<struct<start: bigint, end: bigint>>" + (", kept string" if with_kept else "")
     )
-    places = F.when(F.col("judged"), F.col("places"))
-    out = marked.select("id", "body", places.alias("places")).mapInArrow(cut, schema)
-    named = F.when(F.col("id") != NULL_ID, F.col("id")).alias(id_col)
-    return out.select(named, *[c for c in out.columns if c != "id"])
+    out = marked.select("id", "body", "places").mapInArrow(cut, schema)
+    return given_ids(out, given, id_col)

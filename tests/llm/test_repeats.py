@@ -89,6 +89,18 @@ def test_odd_rows(table, clashing, rows, module):
     assert len({r for r in got if r[0] == 3}) == 1 and min(r[1] for r in got if r[0] == 3) > 0
 
 
+@pytest.mark.parametrize("module", [prefix_free, fm_index])
+def test_rows_without_an_id_of_their_own_are_documents(table, rows, module):
+    text = " ".join(f"word{i}" for i in range(40))
+    other, third = (" ".join(f"{w}{i}" for i in range(40)) for w in ("else", "more"))
+    given = [(None, text), (None, text), (None, third), (4, other), (4, third), (5, other), (5, other), (6, third)]
+    got = rows(module.remove_repeats(table(given)), "doc_id", "n_removed")
+    whole = {t: len(t) if module is prefix_free else 40 for t in (text, other, third)}
+    want = [(None, 0), (None, 0), (None, whole[text]), (4, 0), (4, whole[third])]
+    want += [(5, whole[other])] * 2 + [(6, whole[third])]
+    assert got == sorted(want, key=str)
+
+
 def test_ranks_by_prefix():
     rng = np.random.default_rng(3)
     data = rng.integers(97, 99, 300).astype(np.uint8)
