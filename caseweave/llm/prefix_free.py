@@ -1,11 +1,10 @@
-"""Removes byte strings that stand earlier in the corpus, by prefix-free parsing.
-
-Triggers of a rolling hash cut the corpus into phrases (``anchors``).  The order
-of corpus suffixes by their first 100 bytes, up to equality, is put together from
-two parts: phrases that are equal with all the bytes their strings reach take the
-same place for all their suffixes (the parse), and only the suffixes of phrases
-that differ are sorted, in suffix arrays over the dictionary of different phrases
-of a trigger.  Neighbours of one rank are equal strings; the earliest stays.
+"""Removes byte strings that stand earlier in the corpus, trigger by trigger.
+
+Triggers of a rolling hash cut the corpus into phrases (``anchors``).  Phrases
+that are equal, by their hashes, with all the bytes their strings reach repeat as
+a whole; the strings of phrases that differ are ranked by their first 100 bytes
+by prefix doubling over the phrases of a trigger.  Neighbours of one rank are
+equal strings; the earliest stays.  The parse itself is not sorted.
 """
 
 from __future__ import annotations
