@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseweave.llm import exact_dedup, fm_index, language, mixing, near_join, packing, prefix_free, records, url_filter, winnow
+from caseweave.llm import (
+    exact_dedup,
+    fm_index,
+    language,
+    mixing,
+    near_join,
+    packing,
+    phrases,
+    prefix_free,
+    records,
+    url_filter,
+    winnow,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -59,6 +71,10 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, folder, "pages"), url_filter.rule_table(spark))
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.mine_phrases(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_fingerprints,
@@ -71,10 +87,58 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_mixing,
         op10_url_filter,
+        op11_phrases,
     )
 }
 
 ORACLE_SQL = {
+    "op11_phrases": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), worded AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+        ), occurrences AS (
+            SELECT lang, 1 AS words, unnest(w) AS phrase FROM worded
+            UNION ALL
+            SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM worded
+            UNION ALL
+            SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1),
+                                                  lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM worded
+        ), counts AS (
+            SELECT lang, words, phrase, count(*) AS f FROM occurrences GROUP BY ALL
+        ), totals AS (
+            SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE words = 1 GROUP BY lang
+        ), cuts AS (
+            SELECT lang, phrase, f AS a, words, k, array_to_string(string_split(phrase, ' ')[:k], ' ') AS first,
+                   array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS rest
+            FROM counts, (VALUES (1), (2)) AS cut(k)
+            WHERE f >= 10 AND k < words
+        ), scored AS (
+            SELECT c.lang, c.phrase, c.a, c.words, c.k, x.f AS l, y.f AS r,
+                   ((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM cuts c
+            JOIN counts x ON x.lang = c.lang AND x.phrase = c.first
+            JOIN counts y ON y.lang = c.lang AND y.phrase = c.rest
+            QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.k) = 1
+        ), around AS (
+            SELECT lang, phrase, max(f) AS f
+            FROM (
+                SELECT lang, f, array_to_string(string_split(phrase, ' ')[i:i + 1], ' ') AS phrase
+                FROM counts, (VALUES (1), (2)) AS part(i) WHERE words = 3 AND f >= 10
+            ) GROUP BY ALL
+        ), kept AS (
+            SELECT s.* FROM scored s LEFT JOIN around o ON o.lang = s.lang AND o.phrase = s.phrase
+            WHERE o.f IS NULL OR 100 * o.f < 50 * s.a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n, score
+        FROM kept JOIN totals USING (lang)
+        QUALIFY rank <= 2000
+    """,
     "op8_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
