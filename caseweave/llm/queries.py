@@ -17,6 +17,7 @@ from caseweave.llm import (
     packing,
     phrases,
     prefix_free,
+    ranked_search,
     records,
     url_filter,
     winnow,
@@ -75,6 +76,10 @@ def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.mine_phrases(_table(spark, folder, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.rank_documents(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_fingerprints,
@@ -88,10 +93,42 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_mixing,
         op10_url_filter,
         op11_phrases,
+        op12_ranked_search,
     )
 }
 
 ORACLE_SQL = {
+    "op12_ranked_search": r"""
+        WITH worded AS (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), used AS (
+            SELECT row, doc_id, w, len(w)::BIGINT AS n FROM worded WHERE len(w) > 0
+        ), totals AS (
+            SELECT count(*)::HUGEINT AS docs, sum(n)::HUGEINT AS words FROM used
+        ), lengths AS (
+            SELECT row, doc_id, (100 - 25 + (25 * n * docs) // words)::BIGINT AS m FROM used, totals
+        ), postings AS (
+            SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM used) GROUP BY ALL
+        ), weighted AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM postings, totals GROUP BY term, docs
+        ), asked AS (
+            SELECT item_id, unnest(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ), scored AS (
+            SELECT item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+            FROM asked JOIN postings USING (term) JOIN weighted USING (term) JOIN lengths USING (row)
+            GROUP BY ALL
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+        FROM scored WHERE score > 0
+        QUALIFY rank <= 20
+    """,
     "op11_phrases": r"""
         WITH pieces AS (
             SELECT coalesce(lang, 'und') AS lang,
