@@ -12,6 +12,7 @@ from caseweave.llm import (
     exact_dedup,
     fm_index,
     language,
+    maxent,
     mixing,
     near_join,
     packing,
@@ -80,6 +81,10 @@ def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search.rank_documents(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op13_maxent(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent.score_texts(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_fingerprints,
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_url_filter,
         op11_phrases,
         op12_ranked_search,
+        op13_maxent,
     )
 }
 

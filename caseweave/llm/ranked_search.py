@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from caseweave.llm.spans import LOWER, buffers, cut_out, from_bounds, inner, runs_within, span_numbers
+from caseweave.llm.spans import LOWER, WordList, buffers, from_bounds, inner, runs_within
 from caseweave.llm.workers import give_back, prepare, tidy
 from caseweave.operators.topn import top_n
 from caseweave.sinks.staging import stage
@@ -44,11 +44,9 @@ FOUND = "query int, doc_id bigint, score bigint"
 
 @dataclass
 class Query:
-    """The terms of the items of one pass: sorted numbers, their bytes, and per item (term, repeats)."""
+    """The terms of the items of one pass, and per item (term, repeats)."""
 
-    numbers: np.ndarray
-    spelled: np.ndarray
-    bounds: np.ndarray
+    terms: WordList
     items: list[tuple[np.ndarray, np.ndarray]]
 
 
@@ -61,24 +59,9 @@ def read_query(texts: list[bytes]) -> Query:
     data, bounds = buffers(pa.array(texts, pa.binary()))
     data = LOWER[data]
     starts, ends = runs_within(data, _TERMS)
-    numbers = span_numbers(data, starts, ends)
-    distinct, first, term = np.unique(numbers, return_index=True, return_inverse=True)
-    spelled = cut_out(data, starts[first], ends[first])
+    terms, place = WordList.of(data, starts, ends)
     edges = np.searchsorted(starts, bounds)
-    items = [np.unique(term[a:b], return_counts=True) for a, b in zip(edges, edges[1:], strict=False)]
-    return Query(distinct, *buffers(spelled), items)
-
-
-def _same_bytes(data: np.ndarray, starts: np.ndarray, query: Query, term: np.ndarray) -> np.ndarray:
-    """Whether the spans at ``starts`` spell the terms that their numbers say (lengths agree)."""
-    sizes = (query.bounds[1:] - query.bounds[:-1])[term]
-    before = np.append(0, np.cumsum(sizes))
-    step = np.arange(before[-1])
-    differs = data[np.repeat(starts - before[:-1], sizes) + step] != query.spelled[
-        np.repeat(query.bounds[:-1][term] - before[:-1], sizes) + step
-    ]
-    wrong = np.append(0, np.cumsum(differs))
-    return wrong[before[1:]] == wrong[before[:-1]]
+    return Query(terms, [np.unique(place[a:b], return_counts=True) for a, b in zip(edges, edges[1:], strict=False)])
 
 
 def build_shards(docs: DataFrame, query: Query, shard_docs: int = SHARD_DOCS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -138,15 +121,10 @@ def build_shards(docs: DataFrame, query: Query, shard_docs: int = SHARD_DOCS, sh
                 edges = np.searchsorted(starts, bounds[low : high + 1] - bounds[low])
                 ids.append(own[low:high])
                 lengths.append(np.diff(edges))
-                wanted = np.flatnonzero(np.isin(ends - starts, np.diff(query.bounds)))
-                starts, ends, owner = starts[wanted], ends[wanted], (np.searchsorted(edges, wanted, side="right") - 1)
-                numbers = span_numbers(text, starts, ends)
-                term = np.searchsorted(query.numbers, numbers)
-                term[term == len(query.numbers)] = 0
-                hit = np.flatnonzero(query.numbers[term] == numbers) if len(query.numbers) else np.zeros(0, np.int64)
-                hit = hit[np.diff(query.bounds)[term[hit]] == (ends - starts)[hit]]
-                hit = hit[_same_bytes(text, starts[hit], query, term[hit])]
-                pair, tf = np.unique(term[hit] << 32 | (docs_in + owner[hit]), return_counts=True)
+                term = query.terms.find(text, starts, ends)
+                hit = np.flatnonzero(term >= 0)
+                owner = np.searchsorted(edges, hit, side="right") - 1
+                pair, tf = np.unique(term[hit] << 32 | (docs_in + owner), return_counts=True)
                 pairs.append(pair)
                 times.append(tf)
                 docs_in += high - low
@@ -298,7 +276,7 @@ def search_block(docs: DataFrame, query: Query, best: int = BEST, shard_docs: in
     # As many rows as the block has terms.
     counts = index.groupBy("term").agg(F.sum("many").alias("many"), F.sum("words").alias("words")).collect()
     documents, words = next(((r["many"], r["words"]) for r in counts if r["term"] is None), (0, 0))
-    held = np.zeros(len(query.numbers), np.int64)
+    held = np.zeros(len(query.terms.numbers), np.int64)
     for r in counts:
         if r["term"] is not None:
             held[r["term"]] = r["many"]

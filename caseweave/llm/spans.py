@@ -6,6 +6,7 @@ Works on the buffers of Arrow's binary arrays, so no text becomes a Python objec
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -112,3 +113,41 @@ def from_bounds(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
         len(bounds) - 1,
         [None, pa.py_buffer((bounds * width).astype(np.int64)), pa.py_buffer(data)],
     ).cast(pa.binary())
+
+
+@dataclass(frozen=True)
+class WordList:
+    """Words that are looked for in texts: their numbers in ascending order and their bytes."""
+
+    numbers: np.ndarray
+    spelled: np.ndarray
+    bounds: np.ndarray
+
+    @classmethod
+    def of(cls, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[WordList, np.ndarray]:
+        """The distinct words among spans, and the place in the list of each span."""
+        distinct, first, place = np.unique(span_numbers(data, starts, ends), return_index=True, return_inverse=True)
+        return cls(distinct, *buffers(cut_out(data, starts[first], ends[first]))), place
+
+    def find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The place in the list of each span, or -1; bytes are compared, not only numbers."""
+        out = np.full(len(starts), -1, np.int64)
+        if not len(self.numbers):
+            return out
+        widths = np.diff(self.bounds)
+        possible = np.flatnonzero(ends - starts <= widths.max())
+        numbers = span_numbers(data, starts[possible], ends[possible])
+        place = np.searchsorted(self.numbers, numbers)
+        place[place == len(self.numbers)] = 0
+        hit = (self.numbers[place] == numbers) & (widths[place] == ends[possible] - starts[possible])
+        possible, place = possible[hit], place[hit]
+        sizes = widths[place]
+        before = np.append(0, np.cumsum(sizes))
+        step = np.arange(before[-1])
+        differs = data[np.repeat(starts[possible] - before[:-1], sizes) + step] != self.spelled[
+            np.repeat(self.bounds[:-1][place] - before[:-1], sizes) + step
+        ]
+        wrong = np.append(0, np.cumsum(differs))
+        same = wrong[before[1:]] == wrong[before[:-1]]
+        out[possible[same]] = place[same]
+        return out
