@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseweave.llm.hashing import U64, mix
-from caseweave.llm.spans import LOWER, buffers, cut_out, from_bounds, inner, runs_within, span_numbers
+from caseweave.llm.spans import LOWER, buffers, cut_out, from_bounds, in_pieces, inner, runs_within, span_numbers
 from caseweave.llm.workers import prepare, tidy
 from caseweave.operators.topn import top_n
 from caseweave.sinks.staging import stage
@@ -86,7 +86,7 @@ def count_words(rows: DataFrame) -> DataFrame:
 
     @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches, "body"):
             data, bounds = buffers(batch["body"])
             data = LOWER[data]
             starts, ends = runs_within(data, _WORDS)
@@ -157,7 +157,7 @@ def word_relation(rows: DataFrame, frequent: Filter) -> DataFrame:
 
     @tidy
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches, "body"):
             data, bounds = buffers(batch["body"])
             data = LOWER[data]
             starts, ends = runs_within(data, _WORDS)
@@ -227,7 +227,7 @@ def count_longer(relation: DataFrame, length: int) -> DataFrame:
 
     @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches, "body"):
             o = _Occurrences(batch)
             first = o.joined()
             if len(first):
@@ -242,7 +242,7 @@ def longer_relation(relation: DataFrame, length: int, frequent: Filter) -> DataF
 
     @tidy
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches, "body"):
             o = _Occurrences(batch)
             first = o.joined()
             first = first[frequent.may_hold(o.numbers(first, length))]

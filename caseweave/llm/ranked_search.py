@@ -157,7 +157,7 @@ class Shard:
         order = np.argsort(terms)
         self.ids, self.many = ids, len(ids)
         self.terms = terms[order]
-        self.edges = np.append(0, np.cumsum([len(docs[i]) for i in order]))
+        self.edges = np.append(0, np.cumsum([len(docs[i]) for i in order])).astype(np.int64)
         self.docs = np.concatenate([docs[i] for i in order]).astype(np.int64) if len(order) else np.zeros(0, np.int64)
         tf = np.concatenate([times[i] for i in order]).astype(np.int64) if len(order) else np.zeros(0, np.int64)
         longest = int(lengths.max()) if len(lengths) else 0

@@ -6,6 +6,7 @@ Works on the buffers of Arrow's binary arrays, so no text becomes a Python objec
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,6 +16,8 @@ from caseweave.llm.hashing import U64, mix
 
 #: Bytes that are looked at together when spans are hashed; bounds the memory of long texts.
 CHUNK = 1 << 20
+#: Bytes of text that are looked at together otherwise; a longer text is a piece of its own.
+PIECE = 4 << 20
 #: A longer span is hashed on its own.
 LONG = 1 << 12
 _PRIMES = (2147483647, 2147483629)
@@ -34,6 +37,17 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def in_pieces(batches: Iterator[pa.RecordBatch], column: str, size: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """The rows of batches in pieces with about ``size`` bytes of ``column``, one row at least."""
+    for batch in batches:
+        ends = buffers(batch[column])[1]
+        low = 0
+        while low < batch.num_rows:
+            high = max(low + 1, int(np.searchsorted(ends, ends[low] + size, side="right")) - 1)
+            yield batch.slice(low, high - low)
+            low = high
+
+
 def inner(*ranges: tuple[int, int]) -> np.ndarray:
     """For each byte whether it is none of ``ranges`` (both ends belong to them)."""
     table = np.ones(256, bool)
@@ -129,14 +143,16 @@ class WordList:
         distinct, first, place = np.unique(span_numbers(data, starts, ends), return_index=True, return_inverse=True)
         return cls(distinct, *buffers(cut_out(data, starts[first], ends[first]))), place
 
-    def find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def find(
+        self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, numbers: np.ndarray | None = None
+    ) -> np.ndarray:
         """The place in the list of each span, or -1; bytes are compared, not only numbers."""
         out = np.full(len(starts), -1, np.int64)
         if not len(self.numbers):
             return out
         widths = np.diff(self.bounds)
         possible = np.flatnonzero(ends - starts <= widths.max())
-        numbers = span_numbers(data, starts[possible], ends[possible])
+        numbers = span_numbers(data, starts[possible], ends[possible]) if numbers is None else numbers[possible]
         place = np.searchsorted(self.numbers, numbers)
         place[place == len(self.numbers)] = 0
         hit = (self.numbers[place] == numbers) & (widths[place] == ends[possible] - starts[possible])
