@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseweave.llm.hashing import U64
-from caseweave.llm.spans import LOWER, WordList, buffers, cut_out, from_bounds, inner, runs_within, span_numbers
+from caseweave.llm.spans import LOWER, WordList, buffers, cut_out, from_bounds, in_pieces, inner, runs_within, span_numbers
 from caseweave.llm.workers import prepare, tidy
 from caseweave.sinks.staging import stage
 
@@ -34,7 +34,7 @@ CLASSES = HEADS + TAILS
 #: Words that are counted where the texts are; the counts of all others are joined to them.
 LISTED = 1 << 16
 CLASS_ROWS, MEMBER_ROWS = 1 << 13, 1 << 14
-ROUNDS, STEP, BATCH = 4, 0.15, 4096
+ROUNDS, STEP, BATCH = 4, 0.15, 8192
 #: Rows of weights that travel together.
 BLOCK = 256
 _WORDS = inner((9, 13), (32, 32))
@@ -64,7 +64,7 @@ def count_tokens(rows: DataFrame) -> DataFrame:
 
     @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches, "body"):
             data, _ = buffers(batch["body"])
             data = LOWER[data]
             starts, ends = runs_within(data, _WORDS)
@@ -100,13 +100,25 @@ class Vocabulary:
         return float(np.log10(self.tokens + self.distinct + 1))
 
 
+def _step_of(f: Column) -> Column:
+    """Counts in a few thousand ascending steps, each count up to 4096 in one of its own."""
+    return F.when(f <= 4096, f).otherwise(4096 + F.floor(256 * F.log2(f / 4096.0))).cast("long")
+
+
 def learn_vocabulary(counts: DataFrame, listed: int = LISTED) -> Vocabulary:
-    """From (token, f); LISTED words and a row per tail class come to the driver."""
+    """From (token, f).  The words of the highest counts are listed, at most ``listed``;
+    they, a row per step of counts and one per tail class come to the driver."""
     tokens, distinct = counts.agg(F.sum("f"), F.count("*")).first()
     words = counts.where(F.col("token").isNotNull())
     ends = counts.where(F.col("token").isNull()).first()
     ends = ends["f"] if ends else 0
-    best = words.orderBy(F.desc("f"), F.asc("token")).limit(listed).collect()
+    least, room = 1 << 62, listed
+    for r in words.groupBy(_step_of(F.col("f")).alias("step")).count().orderBy(F.desc("step")).collect():
+        if r["count"] > room:
+            break
+        least, room = r["step"], room - r["count"]
+    best = words.where(_step_of(F.col("f")) >= least).collect()
+    best.sort(key=lambda r: (-r["f"], r["token"]))
     data, bounds = buffers(pa.array([r["token"].encode() for r in best], pa.binary()))
     word_list, place = WordList.of(data, bounds[:-1], bounds[1:])
     listed_counts = np.zeros(len(best), np.int64)
@@ -159,18 +171,19 @@ def encode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary
         logs = np.log10(v.counts + 1.0)
-        for batch in batches:
+        for batch in in_pieces(batches, "body"):
             data, bounds = buffers(batch["body"])
             data = LOWER[data]
             starts, ends = runs_within(data, _WORDS)
             edges = np.searchsorted(starts, bounds)
             owner = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-            place = v.words.find(data, starts, ends)
+            numbers = span_numbers(data, starts, ends)
+            place = v.words.find(data, starts, ends, numbers)
             listed = place >= 0
             codes = np.where(listed, v.head[place] if len(v.head) else -1, -1)
             tail = np.flatnonzero(codes < 0)
             # A number that tells words of the tail apart as features, and their class.
-            spread = (span_numbers(data, starts[tail], ends[tail]) >> U64(20)) % U64(_TAIL_CODES)
+            spread = (numbers[tail] >> U64(20)) % U64(_TAIL_CODES)
             codes[tail] = _HEAD_CODES + spread.astype(np.int64) * TAILS + tail_class(data, starts[tail], ends[tail])
             many = len(edges) - 1
             out = np.zeros(len(codes) + many, np.uint16)  # every text has an end, code 0
@@ -178,7 +191,7 @@ def encode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             in_list, in_tail = np.flatnonzero(listed), np.flatnonzero(listed & (codes >= _HEAD_CODES))
             rare = np.flatnonzero(~listed)
             # Equal words of a text together; the batch's numbers of words do for that.
-            _, first, number = np.unique(span_numbers(data, starts[rare], ends[rare]), return_index=True, return_inverse=True)
+            _, first, number = np.unique(numbers[rare], return_index=True, return_inverse=True)
             pairs, times = np.unique(owner[rare] * max(1, len(first)) + number, return_counts=True)
             which = rare[first[pairs % max(1, len(first))]] if len(rare) else rare
             lists = np.searchsorted(pairs, np.arange(many + 1) * max(1, len(first))).astype(np.int32)
@@ -189,8 +202,8 @@ def encode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                     batch["held_out"],
                     pa.array(np.diff(edges) + 1),
                     pa.array(np.bincount(owner[in_list], minlength=many) + end_known),
-                    pa.array(np.bincount(owner[in_list], logs[place[in_list]], many) + np.log10(v.ends + 1)),
-                    pa.array(np.bincount(owner[in_tail], logs[place[in_tail]], many)),
+                    pa.array(np.bincount(owner[in_list], logs[place[in_list]], many) + float(np.log10(v.ends + 1))),
+                    pa.array(np.bincount(owner[in_tail], logs[place[in_tail]], many).astype(np.float64)),
                     from_bounds(out, edges + np.arange(many + 1)),
                     pa.ListArray.from_arrays(lists, cut_out(data, starts[which], ends[which])),
                     pa.ListArray.from_arrays(lists, pa.array(times.astype(np.int32))),
@@ -229,19 +242,36 @@ def rows_of(features: np.ndarray, rows: int, class_: np.ndarray | None = None) -
     return (features >> np.uint32(32 - (rows.bit_length() - 1))).astype(np.uint16)
 
 
-def class_of(codes: np.ndarray) -> np.ndarray:
-    codes = codes.astype(np.int64)
-    return np.where(codes < _HEAD_CODES, codes // MEMBERS, HEADS + (codes - _HEAD_CODES) % TAILS)
+def _classes_of_codes() -> np.ndarray:
+    codes = np.arange(1 << 16)
+    return np.where(codes < _HEAD_CODES, codes // MEMBERS, HEADS + (codes - _HEAD_CODES) % TAILS).astype(np.uint8)
 
 
-def log_softmax(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Natural logarithms; ``rows`` has a row of weights per feature and position."""
-    out = weights[rows[0]] + bias
+CLASS_OF = _classes_of_codes()
+
+
+def exponentials(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers in proportion to the probabilities, and their sums; ``rows`` has a row
+    of weights per feature and position."""
+    out = np.take(weights, rows[0], axis=0)
     for r in rows[1:]:
-        out += weights[r]
+        out += np.take(weights, r, axis=0)
+    out += bias
     out -= out.max(axis=1, keepdims=True)
-    out -= np.log(np.exp(out).sum(axis=1, keepdims=True))
-    return out
+    np.exp(out, out=out)
+    return out, out @ np.ones(out.shape[1], np.float32)
+
+
+def log_chosen(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the probabilities of the chosen columns."""
+    total = np.take(weights, rows[0], axis=0)
+    for r in rows[1:]:
+        total += np.take(weights, r, axis=0)
+    total += bias
+    total -= total.max(axis=1, keepdims=True)
+    own = total[np.arange(len(chosen)), chosen].astype(np.float64)
+    np.exp(total, out=total)
+    return own - np.log(total @ np.ones(total.shape[1], np.float32))
 
 
 def log_probabilities(model: Model, codes: np.ndarray, features: np.ndarray) -> np.ndarray:
@@ -249,19 +279,30 @@ def log_probabilities(model: Model, codes: np.ndarray, features: np.ndarray) ->
     out = np.zeros(len(codes))
     for low in range(0, len(codes), BATCH):
         part = slice(low, low + BATCH)
-        code, seen = codes[part].astype(np.int64), features[:, part]
-        own = class_of(code)
-        logs = log_softmax(model.classes, rows_of(seen, CLASS_ROWS), model.class_logs)
-        value = logs[np.arange(len(own)), own].astype(np.float64)
+        code, seen = codes[part], features[:, part]
+        own = CLASS_OF[code]
+        value = log_chosen(model.classes, rows_of(seen, CLASS_ROWS), model.class_logs, own)
         head = np.flatnonzero(code < _HEAD_CODES)
-        logs = log_softmax(model.members, rows_of(seen[:, head], MEMBER_ROWS, own[head]), model.member_logs[own[head]])
-        value[head] += logs[np.arange(len(head)), code[head] % MEMBERS]
+        rows = rows_of(seen[:, head], MEMBER_ROWS, own[head])
+        value[head] += log_chosen(model.members, rows, model.member_logs[own[head]], code[head] % MEMBERS)
         tail = np.flatnonzero(code >= _HEAD_CODES)
         value[tail] -= model.tail_totals[own[tail] - HEADS]
         out[part] = value
     return out
 
 
+def segment_sums(values: np.ndarray, heads: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The sum of ``many`` rows from each head on; most segments have a row or two."""
+    out = np.take(values, heads, axis=0)
+    longer = np.flatnonzero(many > 1)
+    for k in range(1, 6):
+        longer = longer[many[longer] > k]
+        out[longer] += np.take(values, heads[longer] + k, axis=0)
+    for i in longer[many[longer] > 6]:
+        out[i] += values[heads[i] + 6 : heads[i] + many[i]].sum(axis=0)
+    return out
+
+
 class Descent:
     """Gradient steps on one table of weights, each as long as the row's gradients so far allow."""
 
@@ -272,7 +313,8 @@ class Descent:
 
     def step(self, rows: np.ndarray, bias: np.ndarray, target: np.ndarray) -> None:
         """One batch: ``rows`` per feature and position, ``target`` the right column."""
-        slope = np.exp(log_softmax(self.weights, rows, bias))
+        slope, sums = exponentials(self.weights, rows, bias)
+        slope *= (1 / sums)[:, None]
         slope[np.arange(len(target)), target] -= 1
         for r in rows:
             order = np.argsort(r, kind="stable")
@@ -280,11 +322,17 @@ class Descent:
             heads = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1])) if len(r) else np.zeros(0, np.int64)
             if not len(heads):
                 continue
-            sums = np.add.reduceat(slope[order], heads, axis=0)
+            many = np.diff(np.append(heads, len(r)))
+            sums = segment_sums(np.take(slope, order, axis=0), heads, many)
             at = sorted_[heads]
-            self.squares[at] += sums * sums
-            self.weights[at] -= STEP * sums / np.sqrt(self.squares[at])
-            self.touched[at] += np.diff(np.append(heads, len(r)))
+            squares = np.take(self.squares, at, axis=0)
+            squares += sums * sums
+            self.squares[at] = squares
+            np.sqrt(squares, out=squares)
+            sums /= squares
+            sums *= STEP
+            self.weights[at] -= sums
+            self.touched[at] += many
 
     def changes(self, first_block: int) -> pa.RecordBatch:
         # Changes are small numbers, for which 16 bits do.
@@ -312,8 +360,8 @@ def train_round(texts: DataFrame, model: Model) -> None:
             features = contexts(codes)
             for low in range(0, len(codes), BATCH):
                 part = slice(low, low + BATCH)
-                code, seen, any_ = codes[part].astype(np.int64), features[:, part], True
-                own = class_of(code)
+                code, seen, any_ = codes[part], features[:, part], True
+                own = CLASS_OF[code]
                 classes.step(rows_of(seen, CLASS_ROWS), model.class_logs, own)
                 head = np.flatnonzero(code < _HEAD_CODES)
                 members.step(
