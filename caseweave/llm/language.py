@@ -23,9 +23,11 @@ from pyspark.sql.functions import pandas_udf
 from caseweave.llm.workers import kept, prepare, tidy
 
 
-#: Bounds of the labelled sample: at most about this many characters and texts per language.
-CHARS_PER_LANGUAGE = 60_000
-TEXTS_PER_LANGUAGE = 200
+#: Bounds of the labelled sample: at most about this many characters per language and in all
+#: (languages share them equally), in pieces of PIECE_CHARS or more, of so many languages.
+CHARS_PER_LANGUAGE, CHARS_IN_ALL = 60_000, 240_000
+PIECE_CHARS = 300
+MAX_LANGUAGES = 400
 #: The most frequent letters have codes of their own; the others share one.
 ALPHABET = 120
 SEGMENT = 1024
@@ -51,23 +53,28 @@ def fit(
     lang_col: str = "lang",
     id_col: str = "doc_id",
     chars: int = CHARS_PER_LANGUAGE,
-    texts: int = TEXTS_PER_LANGUAGE,
     doubt_labels: bool = False,
 ) -> Profile:
     """A profile from a bounded sample of the rows with a text and a label.
 
-    Texts are picked by a hash of their id, about ``texts`` of each language and
-    an equal piece of each, so that a language contributes about ``chars``
-    characters however many rows it has.  Fewer texts give longer pieces.  With
+    Texts are picked by a hash of their id, about ``chars / PIECE_CHARS`` of each language
+    and an equal piece of each, so that a language contributes about ``chars``
+    characters however many rows it has.  Fewer texts give longer pieces.  More
+    languages get fewer characters each, so that the tables have a bounded size
+    whatever the labels are; more than MAX_LANGUAGES labels are an error.  With
     ``doubt_labels``, pieces that the other half of the sample finds to be in
     another language are left out, so that wrong labels do not teach themselves.
     """
     usable = labelled.select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("body"), F.xxhash64(id_col).alias("turn")
     ).where(F.col("lang").isNotNull() & F.col("body").isNotNull())
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
     if not counts:
         return Profile(())
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {MAX_LANGUAGES} values; merge or drop the rare ones")
+    chars = min(chars, CHARS_IN_ALL // len(counts))
+    texts = max(1, chars // PIECE_CHARS)
     scale = 1 << 30
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(scale, scale * texts // n)))])
     piece = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(-(-chars // min(n, texts))))])
@@ -106,6 +113,8 @@ class Automata:
     table: np.ndarray
     roots: np.ndarray
     size: int = field(default=0)
+    #: Longer samples have longer matches, about as the logarithm of their length.
+    weights: np.ndarray = field(default_factory=lambda: np.ones(1))
 
 
 def _letters() -> tuple[np.ndarray, np.ndarray]:
@@ -126,59 +135,55 @@ def build(profile: Profile, alphabet: int = ALPHABET) -> Automata:
         codes[ord(c)] = number
     codes = codes[lower]
     size = int(codes.max()) + 1
-    tables, roots, base = [], [], 0
-    for _, text in profile.samples:
-        joined, _ = _coded([text], codes)
-        table = _complete(_suffix_automaton(joined.tolist()), size)
-        roots.append(base)
-        moved = np.where(table < 0, ~(~table + base), table + base).astype(np.int32)
-        tables.append(moved)
-        base += len(table)
-    flat = np.concatenate(tables) if tables else np.zeros(0, np.int32)
-    return Automata([k for k, _ in profile.samples], codes, flat, np.array(roots, np.int32), size)
-
-
-def _suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
-    """Transitions of the smallest automaton that reads every substring."""
-    moves: list[dict[int, int]] = [{}]
-    link, length, last = [-1], [0], 0
-    for c in codes:
-        new = len(moves)
-        moves.append({})
-        length.append(length[last] + 1)
-        link.append(0)
+    texts = [_coded([text], codes)[0] for _, text in profile.samples]
+    # Room for the largest automata there can be; what is not touched takes no memory.
+    table = np.empty(sum(2 * len(t) + 2 for t in texts) * size, np.int32)
+    roots, used = [], 0
+    for text in texts:
+        roots.append(used)
+        used = _add_automaton(table, used, text, size)
+    logs = np.log2([max(2, len(t)) for t in texts] or [2])
+    languages = [k for k, _ in profile.samples]
+    return Automata(languages, codes, table[:used], np.array(roots, np.int32), size, logs / logs.max())
+
+
+def _add_automaton(table: np.ndarray, base: int, codes: np.ndarray, size: int) -> int:
+    """Writes the smallest automaton that reads every substring from ``base`` on; returns its end.
+
+    ``table[state + code]`` is the next state.  States are counted in steps of
+    ``size``.  What has no transition ends the phrase and starts anew, which is the
+    complement of the state after it, also for a character that the text never has.
+    """
+    moves, none = memoryview(table), memoryview(np.full(size, -1, np.int32))
+    moves[base : base + size] = none
+    link, length, last, end = {base: -1}, {base: 0}, base, base + size
+    for c in codes.tolist():
+        new, end = end, end + size
+        moves[new:end] = none
+        length[new], link[new] = length[last] + 1, base
         at = last
-        while at >= 0 and c not in moves[at]:
-            moves[at][c] = new
+        while at >= 0 and moves[at + c] < 0:
+            moves[at + c] = new
             at = link[at]
         if at >= 0:
-            old = moves[at][c]
+            old = moves[at + c]
             if length[old] == length[at] + 1:
                 link[new] = old
             else:
-                copy = len(moves)
-                moves.append(dict(moves[old]))
-                length.append(length[at] + 1)
-                link.append(link[old])
+                copy, end = end, end + size
+                moves[copy:end] = moves[old : old + size]
+                length[copy], link[copy] = length[at] + 1, link[old]
                 link[old] = link[new] = copy
-                while at >= 0 and moves[at].get(c) == old:
-                    moves[at][c] = copy
+                while at >= 0 and moves[at + c] == old:
+                    moves[at + c] = copy
                     at = link[at]
         last = new
-    return moves
-
-
-def _complete(moves: list[dict[int, int]], size: int) -> np.ndarray:
-    """A flat table with states counted in steps of ``size``; what has no transition
-    ends the phrase and starts anew, also for a character that the text never has."""
-    start = np.zeros(size, np.int64)
-    for c, to in moves[0].items():
-        start[c] = to * size
-    table = np.tile(~start, (len(moves), 1))
-    rows = np.repeat(np.arange(len(moves)), [len(m) for m in moves])
-    cols = np.fromiter((c for m in moves for c in m), np.int64, len(rows))
-    table[rows, cols] = np.fromiter((to * size for m in moves for to in m.values()), np.int64, len(rows))
-    return table.ravel()
+    own = table[base:end].reshape(-1, size)
+    start = np.where(own[0] < 0, base, own[0])
+    for low in range(0, len(own), 4096):  # a piece at a time, as a mask of all would be half as large as the table
+        part = own[low : low + 4096]
+        np.copyto(part, ~start, where=part < 0)
+    return end
 
 
 def _coded(texts: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -252,6 +257,7 @@ def identify(automata: Automata, texts: list[str | None]) -> pd.DataFrame:
             scores += [0.0] * len(sizes)
             rates += [1.0] * len(sizes)
             continue
+        phrases = phrases * automata.weights
         best = phrases.argmin(axis=1)
         least = phrases.min(axis=1)
         second = np.partition(phrases, 1, axis=1)[:, 1] if phrases.shape[1] > 1 else np.full(len(best), np.inf)

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from caseweave.llm import language
@@ -75,3 +76,29 @@ def test_odd_rows(table, clashing, rows, oddities):
     got = rows(predict_languages(clashing(given), one), "doc_id", "lang_pred")
     assert len(got) == len(given) and (None, "en") in got
     assert rows(predict_languages(table([]), one)) == []
+
+
+def test_many_labels_share_the_sample(table):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rng = np.random.default_rng(7)
+    # A language has words of its own.
+    lexicons = [["".join(rng.choice(list(letters), 5)) for _ in range(200)] for _ in range(40)]
+    text = lambda k, n: " ".join(rng.choice(lexicons[k], n))
+    docs = [(i, text(i % 40, 300), f"l{i % 40:02}") for i in range(800)]
+    profile = fit(table(docs))
+    assert len(profile.samples) == 40 and sum(len(t) for _, t in profile.samples) <= language.CHARS_IN_ALL
+    automata = build(profile)
+    assert automata.table.nbytes < 200 << 20
+    found = identify(automata, [text(k, 40) for k in range(40)])
+    assert found["lang"].tolist() == [f"l{k:02}" for k in range(40)]
+
+
+def test_too_many_labels_are_an_error(table, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 3)
+    with pytest.raises(ValueError, match="more than 3"):
+        fit(table([(i, "text", f"l{i}") for i in range(4)]))
+
+
+def test_a_language_with_a_short_sample_can_win():
+    short = build(Profile((("de", GERMAN), ("en", (ENGLISH + GERMAN[:20]) * 40))))
+    assert identify(short, ["der hund springt über den fuchs"])["lang"].tolist() == ["de"]
