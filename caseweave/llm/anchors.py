@@ -15,7 +15,11 @@ by trigger:
 
 Triggers found in many documents of a sample are hot: their phrases are dealt out
 by content, so that a passage in a third of all documents is no single task's
-work.  What is hot only decides where rows go, never the result.
+work.  Of equal phrases one goes on, in two halves: a string reaches at least half
+of its free length beyond its trigger on one side or the other, so strings that reach
+far to the right are filed under the trigger and what follows it there, all
+others under the trigger and what precedes it.  So a hot phrase is sent twice at most,
+and as a whole.  What is hot only decides where rows go, never the result.
 """
 
 from __future__ import annotations
@@ -30,14 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseweave.llm.hashing import U64, in_batches, mix, prefix_sums, span_hashes
-from caseweave.llm.native import whole_text
+from caseweave.llm.native import most_frequent, whole_text
 from caseweave.llm.runs import by_runs
+from caseweave.llm.spans import from_bounds
 from caseweave.llm.workers import prepare, tidy
 from caseweave.sinks.staging import stage
 
 WHOLE, PARTLY = 1, 2
 SAMPLE = 64
-HOT_COUNT, HOT_SHARE = 20, 2000
+#: A trigger is hot from this many occurrences in the sample on; so many triggers can be hot.
+HOT_COUNT, HOT_LISTED = 20, 1 << 16
 NULL_ID = -(1 << 63)
 _SPREAD = 64
 
@@ -216,13 +222,13 @@ def _repeats(trigger, content, owner, start, across) -> tuple[np.ndarray, np.nda
 
 
 def hot_triggers(rows: DataFrame, strings: Strings) -> np.ndarray:
-    """Triggers that are frequent in one document of SAMPLE; at most HOT_SHARE of them."""
+    """The most frequent triggers of one document of SAMPLE; at most HOT_LISTED of them."""
     sample = find_phrases(rows.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0), strings)
     counts = stage(
-        sample.where(F.col("place").bitwiseAND(1) == 0).groupBy("task").count(), "sample-triggers"
+        sample.where(F.col("place").bitwiseAND(1) == 0).groupBy("task").agg(F.count("*").alias("many")).where(F.col("many") > HOT_COUNT),
+        "sample-triggers",
     )
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    found = counts.where(F.col("count") > max(HOT_COUNT, total // HOT_SHARE)).select("task").collect()
+    found = most_frequent(counts, "many", HOT_LISTED).select("task").collect()
     return np.array([r[0] for r in found], np.int64).view(U64)
 
 
@@ -261,9 +267,38 @@ def classify(phrases: DataFrame, strings: Strings) -> DataFrame:
     return dealt.mapInPandas(decide, "id bigint, place bigint, task bigint, kind int")
 
 
+def _halves(
+    sums: np.ndarray, first: np.ndarray, many: np.ndarray, strings: Strings
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Which row, first string, number of strings and task of the halves of hot phrases."""
+    gram, free = strings.gram, strings.length - strings.gram
+    half = (free + 1) // 2
+    # The trigger lies in all strings of the phrase: from the last one's start on, to the first one's end.
+    low, width = first + many - 1, free - many + 2
+    before = np.append(0, np.cumsum(width))
+    at = np.repeat(low - before[:-1], width) + np.arange(before[-1])
+    hashes = span_hashes(sums, at, at + gram)
+    least = np.repeat(np.minimum.reduceat(hashes, before[:-1]), width)
+    place = np.where(hashes == least, at, np.iinfo(np.int64).max)
+    trigger = np.minimum.reduceat(place, before[:-1])
+    # Strings that start at most ``free - half`` before the trigger reach half beyond its end.
+    turn = np.clip(trigger - (free - half), first, first + many)
+    ends = first + many
+    row = np.arange(len(first))
+    left, right = turn > first, ends > turn
+    t, u = trigger[left], trigger[right]
+    keys = np.concatenate([span_hashes(sums, t - half, t + gram), mix(span_hashes(sums, u, u + gram + half) + U64(1))])
+    return (
+        np.concatenate([row[left], row[right]]),
+        np.concatenate([first[left], turn[right]]),
+        np.concatenate([(turn - first)[left], (ends - turn)[right]]),
+        keys.view(np.int64),
+    )
+
+
 def send_contexts(texts: DataFrame, strings: Strings) -> DataFrame:
     """From (id, body, parts: array of (place, task)) to (task, id, start, many, symbols):
-    the symbols of each phrase that may repeat in part; a hot one goes string by string."""
+    the symbols of each phrase that may repeat in part; a hot one goes in two halves."""
     length = strings.length
 
     @tidy
@@ -281,33 +316,26 @@ def send_contexts(texts: DataFrame, strings: Strings) -> DataFrame:
                 text = np.repeat(np.arange(high - low), np.diff(offsets[low : high + 1]))
                 start, many, flags = unpack(places[part])
                 task = tasks[part]
-                hot = (flags & 2).astype(bool)
-                if hot.any():
-                    # Equal strings have equal hashes, so each string can go where its hash says.
-                    times = np.where(hot, many, 1)
-                    step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                    text, hot_row = np.repeat(text, times), np.repeat(hot, times)
-                    start = np.repeat(start, times) + step
-                    many = np.where(hot_row, 1, np.repeat(many, times))
-                    first = bounds[:-1][text] + start
-                    own = span_hashes(prefix_sums(symbols), first, first + length)
-                    task = np.where(hot_row, own.view(np.int64), np.repeat(task, times))
                 first = bounds[:-1][text] + start
+                hot = np.flatnonzero(flags & 2)
+                if len(hot):
+                    cool = np.flatnonzero((flags & 2) == 0)
+                    row, begin, count, key = _halves(prefix_sums(symbols), first[hot], many[hot], strings)
+                    text = np.concatenate([text[cool], text[hot][row]])
+                    first, many = np.concatenate([first[cool], begin]), np.concatenate([many[cool], count])
+                    task = np.concatenate([task[cool], key])
+                    start = first - bounds[:-1][text]
                 sizes = many + length - 1
                 ends = np.cumsum(sizes)
                 where = np.repeat(first - (ends - sizes), sizes) + np.arange(sizes.sum())
                 data = np.ascontiguousarray(symbols[where])
-                width = data.dtype.itemsize
-                cuts = np.append(0, ends) * width
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(task),
                         pa.array(ids[low:high][text]),
                         pa.array(start.astype(np.int32)),
                         pa.array(many.astype(np.int32)),
-                        pa.LargeBinaryArray.from_buffers(
-                            pa.large_binary(), len(task), [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)]
-                        ).cast(pa.binary()),
+                        from_bounds(data, np.append(0, ends)),
                     ],
                     names=["task", "id", "start", "many", "symbols"],
                 )

@@ -150,20 +150,29 @@ def exact_copies(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; one of each text, also
-    where the table repeats a row with its id."""
-    verdicts = stage(exact_copies(docs, id_col, text_col).select(F.col(id_col).alias("_id"), "text_sha256", "kept"), "exact-verdicts")
-    gone = verdicts.where(~F.col("kept")).distinct()
-    twice = verdicts.where("kept").groupBy("_id", "text_sha256").count().where("count > 1")
+    """The rows of ``docs`` that stay, with all their columns, whatever their names; one of
+    each text, also where the table repeats a row with its id.
+
+    Null and empty texts are one text.  A row with a null id stays only if no
+    row of its text has an id.  An empty table gives an empty result.
+    """
+    verdicts = stage(exact_copies(docs, id_col, text_col).select(F.col(id_col).alias("id"), "text_sha256", "kept"), "exact-verdicts")
+    gone = verdicts.where(~F.col("kept")).select("id", "text_sha256").distinct()
+    twice = verdicts.where("kept").groupBy("id", "text_sha256").count().where("count > 1").drop("count")
+    # The row travels as one column, so that none of its names meets ours.
+    packed = docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("row"),
+        F.col(id_col).alias("own"),
+        F.sha2(whole_text(text_col), 256).alias("digest"),
+    )
 
     def same(other: DataFrame, how: str, rows: DataFrame) -> DataFrame:
         small = F.broadcast(other) if estimated_bytes(verdicts) < SMALL_VERDICTS else other
-        match = rows[id_col].eqNullSafe(F.col("_id")) & (F.sha2(whole_text(text_col), 256) == F.col("text_sha256"))
-        return rows.join(small, match, how)
-
-    stay = same(gone, "left_anti", docs)
-    if twice.isEmpty():
-        return stay
-    return same(twice, "left_anti", stay).unionByName(
-        same(twice, "left_semi", stay).dropDuplicates([id_col, text_col])
-    )
+        return rows.join(small, F.col("own").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("text_sha256")), how)
+
+    stay = same(gone, "left_anti", packed)
+    if not twice.isEmpty():
+        stay = same(twice, "left_anti", stay).unionByName(
+            same(twice, "left_semi", stay).dropDuplicates(["own", "digest"])
+        )
+    return stay.select("row.*")

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from caseweave.llm.anchors import Strings, given_ids, keyed, repeated_strings, unpack
-from caseweave.llm.hashing import U64, in_batches, words_of
+from caseweave.llm.hashing import U64, in_batches
+from caseweave.llm.spans import words_of
 from caseweave.llm.workers import tidy
 
 WINDOW = 13

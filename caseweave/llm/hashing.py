@@ -45,15 +45,6 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * shift[starts])
 
 
-def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the runs of bytes other than white space (blank, 9 to 13) start and end."""
-    inside = np.ones(len(data) + 2, bool)
-    inside[0] = inside[-1] = False
-    inside[1:-1] = (data != 32) & ((data < 9) | (data > 13))
-    turns = np.flatnonzero(inside[1:] != inside[:-1])
-    return turns[::2], turns[1::2]
-
-
 def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 of all texts, a line feed after each, and where each starts (and the end)."""
     coded = [t.encode("utf-8", "replace") for t in texts]
@@ -61,14 +52,6 @@ def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"\n".join([*coded, b""]), np.uint8), bounds
 
 
-def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for every word of the texts in order, and where each text's words start (and the end)."""
-    data, bounds = joined(texts)
-    starts, ends = word_spans(data)
-    hashes = span_hashes(prefix_sums(data), starts, ends)
-    return hashes, np.searchsorted(starts, bounds)
-
-
 def runs_of(hashes: np.ndarray, length: int, salt: int = 0) -> np.ndarray:
     """A hash for every run of ``length`` numbers; the ones that are too short at the end are left out."""
     many = max(0, len(hashes) - length + 1)

@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseweave.llm.hashing import U64
-from caseweave.llm.spans import LOWER, WordList, buffers, cut_out, from_bounds, in_pieces, inner, runs_within, span_numbers
+from caseweave.llm.native import most_frequent
+from caseweave.llm.spans import LOWER, WORDS, WordList, buffers, cut_out, from_bounds, in_pieces, runs_within, span_numbers
 from caseweave.llm.workers import prepare, tidy
 from caseweave.sinks.staging import stage
 
@@ -37,7 +38,6 @@ CLASS_ROWS, MEMBER_ROWS = 1 << 13, 1 << 14
 ROUNDS, STEP, BATCH = 4, 0.15, 8192
 #: Rows of weights that travel together.
 BLOCK = 256
-_WORDS = inner((9, 13), (32, 32))
 _HEAD_CODES = HEADS * MEMBERS
 _TAIL_CODES = (65536 - _HEAD_CODES) // TAILS
 COUNTS = "token string, f bigint"
@@ -67,7 +67,7 @@ def count_tokens(rows: DataFrame) -> DataFrame:
         for batch in in_pieces(batches, "body"):
             data, _ = buffers(batch["body"])
             data = LOWER[data]
-            starts, ends = runs_within(data, _WORDS)
+            starts, ends = runs_within(data, WORDS)
             _, first, many = np.unique(span_numbers(data, starts, ends), return_index=True, return_counts=True)
             words = cut_out(data, starts[first], ends[first]).cast(pa.string())
             yield pa.RecordBatch.from_arrays([words, pa.array(many.astype(np.int64))], names=["token", "f"])
@@ -100,11 +100,6 @@ class Vocabulary:
         return float(np.log10(self.tokens + self.distinct + 1))
 
 
-def _step_of(f: Column) -> Column:
-    """Counts in a few thousand ascending steps, each count up to 4096 in one of its own."""
-    return F.when(f <= 4096, f).otherwise(4096 + F.floor(256 * F.log2(f / 4096.0))).cast("long")
-
-
 def learn_vocabulary(counts: DataFrame, listed: int = LISTED) -> Vocabulary:
     """From (token, f).  The words of the highest counts are listed, at most ``listed``;
     they, a row per step of counts and one per tail class come to the driver."""
@@ -112,12 +107,7 @@ def learn_vocabulary(counts: DataFrame, listed: int = LISTED) -> Vocabulary:
     words = counts.where(F.col("token").isNotNull())
     ends = counts.where(F.col("token").isNull()).first()
     ends = ends["f"] if ends else 0
-    least, room = 1 << 62, listed
-    for r in words.groupBy(_step_of(F.col("f")).alias("step")).count().orderBy(F.desc("step")).collect():
-        if r["count"] > room:
-            break
-        least, room = r["step"], room - r["count"]
-    best = words.where(_step_of(F.col("f")) >= least).collect()
+    best = most_frequent(words, "f", listed).collect()
     best.sort(key=lambda r: (-r["f"], r["token"]))
     data, bounds = buffers(pa.array([r["token"].encode() for r in best], pa.binary()))
     word_list, place = WordList.of(data, bounds[:-1], bounds[1:])
@@ -174,7 +164,7 @@ def encode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         for batch in in_pieces(batches, "body"):
             data, bounds = buffers(batch["body"])
             data = LOWER[data]
-            starts, ends = runs_within(data, _WORDS)
+            starts, ends = runs_within(data, WORDS)
             edges = np.searchsorted(starts, bounds)
             owner = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
             numbers = span_numbers(data, starts, ends)

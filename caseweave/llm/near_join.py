@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from caseweave.llm.components import components
-from caseweave.llm.hashing import U64, in_batches, mix, runs_of, words_of
+from caseweave.llm.hashing import U64, in_batches, mix, runs_of
 from caseweave.llm.native import join_groups, whole_text
 from caseweave.llm.runs import by_runs
+from caseweave.llm.spans import words_of
 from caseweave.llm.workers import prepare, tidy
 from caseweave.sinks.staging import stage
 from caseweave.sources.tables import estimated_bytes
@@ -406,14 +407,30 @@ def near_classes(
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay: of each class the row with the smallest id, with
-    all its columns.  Rows with a null id stay; rows with one id stay or go together."""
+    """The rows of ``docs`` that stay, with all their columns, whatever their names: of
+    each class the row with the smallest id.
+
+    Where ids are null or repeat, rows are ordered by id, null ones last, and then by a hash
+    of the text, and each is a document of its own.  Null and empty texts and
+    texts without words stay.  An empty table gives an empty result.
+    """
+    packed = docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("row"),
+        F.col(id_col).cast("long").alias("key"),
+        F.col(text_col).alias("body"),
+    )
+    if not packed.groupBy("key").count().where("count > 1 or key is null").isEmpty():
+        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        order = [F.col("key").asc_nulls_last(), F.xxhash64("body")]
+        dealt = packed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        # Partitions follow each other as the ids do, so the numbers rise with them.
+        packed = stage(dealt.withColumn("key", F.monotonically_increasing_id()), "near-rows")
     gone = (
-        near_classes(docs, id_col, text_col, **options)
-        .where(F.col("class_id") != F.col(id_col))
-        .select(F.col(id_col).alias("_gone"))
+        near_classes(packed, "key", "body", **options)
+        .where(F.col("class_id") != F.col("key"))
+        .select("key")
         .distinct()
     )
     gone = stage(gone, "near-gone")
     small = F.broadcast(gone) if estimated_bytes(gone) < SMALL_LIST else gone
-    return docs.join(small, docs[id_col] == F.col("_gone"), "left_anti")
+    return packed.join(small, "key", "left_anti").select("row.*")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-from caseweave.llm.hashing import U64, mix
+from caseweave.llm.hashing import U64, joined, mix
 
 #: Bytes that are looked at together when spans are hashed; bounds the memory of long texts.
 CHUNK = 1 << 20
@@ -167,3 +167,14 @@ class WordList:
         same = wrong[before[1:]] == wrong[before[:-1]]
         out[possible[same]] = place[same]
         return out
+
+
+#: Words are runs of bytes other than white space (blank, 9 to 13).
+WORDS = inner((9, 13), (32, 32))
+
+
+def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A number for every word of the texts in order, and where each text's words start (and the end)."""
+    data, bounds = joined(texts)
+    starts, ends = runs_within(data, WORDS)
+    return span_numbers(data, starts, ends), np.searchsorted(starts, bounds)

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import pytest
 
+from caseweave.llm import exact_dedup
 from caseweave.llm.exact_dedup import build_directory, drop_copies, exact_copies
 
 
@@ -50,3 +51,11 @@ def test_directory_splits_only_what_is_full():
 def test_shuffles_no_copies(spark, table):
     plan = exact_copies(table([(i, "same") for i in range(500)]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "SortAggregate" not in plan and "CartesianProduct" not in plan
+
+
+def test_stage_keeps_columns_with_our_names(table, rows):
+    wide = table([(5, "a"), (6, "a"), (7, None), (None, ""), (8, "b"), (8, "b")]).selectExpr(
+        "*", "'x' AS _id", "1 AS own", "2 AS digest", "3 AS row", "4 AS text_sha256", "5 AS kept"
+    )
+    kept = exact_dedup.drop_copies(wide)
+    assert kept.columns == wide.columns and rows(kept, "doc_id", "own", "_id") == [(6, 1, "x"), (7, 1, "x"), (8, 1, "x")]

@@ -100,3 +100,20 @@ def test_one_of_each_class_stays(table, rows, prose):
     kept = {r[0] for r in rows(drop_near_copies(table(given)), "doc_id")}
     assert kept == {i for i, c, *_ in want if i == c}
     assert Counter(c for _, c, *_ in want).keys() == kept
+
+
+def test_rows_without_an_id_of_their_own_go_as_well(table, rows):
+    text = " ".join(f"w{i}" for i in range(60))
+    near = text.replace("w30", "x")
+    far = " ".join(f"v{i}" for i in range(60))
+    given = [(5, text), (7, far), (7, near), (None, near + " end"), (None, far), (8, "alone here")]
+    assert rows(drop_near_copies(table(given)), "doc_id", "text") == sorted([(5, text), (7, far), (8, "alone here")], key=str)
+
+
+def test_columns_with_our_names(table, rows):
+    text = " ".join(f"w{i}" for i in range(60))
+    wide = table([(5, text), (6, text + " end"), (7, "other")]).selectExpr(
+        "*", "'x' AS _gone", "1 AS key", "2 AS body", "3 AS row", "4 AS _id", "5 AS class_id"
+    )
+    kept = drop_near_copies(wide)
+    assert kept.columns == wide.columns and rows(kept, "doc_id", "key", "_gone") == [(5, 1, "x"), (7, 1, "x")]

@@ -51,8 +51,7 @@ def heat(request, monkeypatch):
     """Once with every trigger of a sample of all documents taken for hot."""
     if request.param == "hot":
         monkeypatch.setattr(anchors, "SAMPLE", 1)
-        monkeypatch.setattr(anchors, "HOT_COUNT", 1)
-        monkeypatch.setattr(anchors, "HOT_SHARE", 10**9)
+        monkeypatch.setattr(anchors, "HOT_COUNT", 0)
 
 
 @pytest.mark.parametrize(("length", "gram"), [(100, 24), (20, 5)])
@@ -132,3 +131,43 @@ def test_wavelet_ranks_and_backward_search():
             sum(list(p[i : i + len(pattern)]) == pattern for i in range(len(p))) for p in pieces
         )
         assert high[0] - low[0] == count
+
+
+def contexts_of(table, texts, monkeypatch):
+    """Rows and bytes of the contexts that are compared, and of the runs that come out."""
+    sizes = {}
+    monkeypatch.setattr(anchors, "compare_contexts", lambda c, f, real=anchors.compare_contexts: count(c, f, real))
+
+    def count(contexts, repeated, real):
+        contexts = contexts.cache()
+        sizes["rows"], sizes["bytes"] = (int(x or 0) for x in contexts.selectExpr("count(*)", "sum(octet_length(symbols))").first())
+        runs = real(contexts, repeated).cache()
+        sizes["runs"] = runs.count()
+        return runs
+
+    prefix_free.remove_repeats(table(list(enumerate(texts)))).count()
+    return sizes
+
+
+def test_contexts_of_a_large_group_of_near_copies_stay_small(table, monkeypatch):
+    rng = np.random.default_rng(8)
+    words = np.array(["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(500)])
+    base = rng.choice(words, 80)
+    texts = []
+    for _ in range(1600):
+        near = base.copy()
+        near[rng.integers(0, 80, 2)] = rng.choice(words, 2)
+        texts.append(" ".join(near))
+    monkeypatch.setattr(anchors, "SAMPLE", 8)
+    sizes = contexts_of(table, texts, monkeypatch)
+    total = sum(map(len, texts))
+    assert sizes["bytes"] < 3 * total and sizes["rows"] < 10 * len(texts) and sizes["runs"] < 10 * len(texts), sizes
+
+
+def test_long_words_that_differ_are_no_repeat(table, rows):
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    given = [(1, " ".join([word] * 13)), (2, " ".join([other] * 13))]
+    assert rows(fm_index.remove_repeats(table(given)), "doc_id", "n_removed") == [(1, 0), (2, 0)]
