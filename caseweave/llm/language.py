@@ -113,8 +113,6 @@ class Automata:
     table: np.ndarray
     roots: np.ndarray
     size: int = field(default=0)
-    #: Longer samples have longer matches, about as the logarithm of their length.
-    weights: np.ndarray = field(default_factory=lambda: np.ones(1))
 
 
 def _letters() -> tuple[np.ndarray, np.ndarray]:
@@ -142,9 +140,7 @@ def build(profile: Profile, alphabet: int = ALPHABET) -> Automata:
     for text in texts:
         roots.append(used)
         used = _add_automaton(table, used, text, size)
-    logs = np.log2([max(2, len(t)) for t in texts] or [2])
-    languages = [k for k, _ in profile.samples]
-    return Automata(languages, codes, table[:used], np.array(roots, np.int32), size, logs / logs.max())
+    return Automata([k for k, _ in profile.samples], codes, table[:used], np.array(roots, np.int32), size)
 
 
 def _add_automaton(table: np.ndarray, base: int, codes: np.ndarray, size: int) -> int:
@@ -257,7 +253,6 @@ def identify(automata: Automata, texts: list[str | None]) -> pd.DataFrame:
             scores += [0.0] * len(sizes)
             rates += [1.0] * len(sizes)
             continue
-        phrases = phrases * automata.weights
         best = phrases.argmin(axis=1)
         least = phrases.min(axis=1)
         second = np.partition(phrases, 1, axis=1)[:, 1] if phrases.shape[1] > 1 else np.full(len(best), np.inf)

@@ -97,8 +97,3 @@ def test_too_many_labels_are_an_error(table, monkeypatch):
     monkeypatch.setattr(language, "MAX_LANGUAGES", 3)
     with pytest.raises(ValueError, match="more than 3"):
         fit(table([(i, "text", f"l{i}") for i in range(4)]))
-
-
-def test_a_language_with_a_short_sample_can_win():
-    short = build(Profile((("de", GERMAN), ("en", (ENGLISH + GERMAN[:20]) * 40))))
-    assert identify(short, ["der hund springt über den fuchs"])["lang"].tolist() == ["de"]

@@ -79,5 +79,5 @@ def test_registered(spark):
 
     names = set(__spark_entry__.queries())
     assert {*QUERIES, "pipeline"} <= names
-    assert len([n for n in QUERIES if n.startswith("op")]) == 10
+    assert len([n for n in QUERIES if n.startswith("op")]) == 13
     assert set(__spark_entry__.oracle_sql()) <= names
