@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,30 +66,39 @@ def refine_matched(
     return todo if batch_size is None else work_batch(todo, batch_size)
 
 
+POSSESSIVE = re.compile(r"([*+?}])\+")
+
+
 def _matches(text: Column, pattern: Column) -> Column:
     """Whether a pattern that may differ in every row occurs; null if it is no pattern.
 
-    Spark ends the job on a pattern that does not compile, so patterns are
-    tried out in Python, where a failure is an answer; plain words never leave
-    the JVM.
+    Plain words never leave the JVM.  Other patterns are tried and run by one
+    engine, RE2, whose time is linear in the text, so no pattern can end the
+    job or stall a task.  A batch compiles each of its patterns once.
     """
 
     @F.arrow_udf("boolean")
-    def tried(patterns: pa.Array) -> pa.Array:
-        known: dict[str | None, bool] = {None: False}
-        for p in patterns.to_pylist():
-            if p not in known:
+    def occurs(texts: pa.Array, patterns: pa.Array) -> pa.Array:
+        coded = patterns.dictionary_encode()
+        codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        order = np.argsort(codes, kind="stable")
+        edges = np.searchsorted(codes[order], np.arange(len(coded.dictionary) + 1))
+        found = np.full(len(texts), None, object)
+        for code, one in enumerate(coded.dictionary.to_pylist()):
+            rows = order[edges[code] : edges[code + 1]]
+            for spelled in (one, POSSESSIVE.sub(r"\1", one)):
                 try:
-                    re.compile(p)
-                    known[p] = True
-                except re.error:
-                    known[p] = False
-        return pa.array([known[p] for p in patterns.to_pylist()])
+                    hits = pc.match_substring_regex(texts.take(pa.array(rows)), spelled)
+                except pa.ArrowInvalid:  # no pattern
+                    continue
+                found[rows] = hits.to_numpy(zero_copy_only=False)
+                break
+        return pa.array(found, pa.bool_())
 
     plain = F.regexp_like(pattern, F.lit(r"\A[\p{L}\p{N}_ ]*\z"))
-    usable = F.when(plain, F.lit(True)).otherwise(tried(pattern))
+    other = F.coalesce(~plain, F.lit(False))
     return F.when(plain, F.contains(text, pattern)).otherwise(
-        F.regexp_like(text, F.when(usable, pattern))
+        occurs(F.when(other, text), F.when(other, pattern))
     )
 
 

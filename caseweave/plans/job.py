@@ -88,6 +88,12 @@ class Job:
     def _replace(self, df: DataFrame, table: str) -> DataFrame:
         return tables.replace_table(df, self.name(table))
 
+    def _state(self, table: str, schema) -> DataFrame:
+        """A state table with the answers that an earlier run could not append any more."""
+        tables.ensure_table(self.spark, self.name(table), tables.with_outcome(schema))
+        tables.recover(self.spark, self.name(table))
+        return self.table(table)
+
     def _model(self, model: Model) -> Model:
         return partial(model, **self.settings.generation) if self.settings.generation else model
 
@@ -133,7 +139,7 @@ class Job:
     def summarise_photos(self) -> None:
         """From stored objects when they are given, otherwise from URLs."""
         name = self.name("batch_image_summaries")
-        state = tables.ensure_table(self.spark, name, tables.with_outcome(tables.PHOTO_SUMMARIES))
+        state = self._state("batch_image_summaries", tables.PHOTO_SUMMARIES)
         nothing, fallback = state.filter(F.lit(False)), self.table("batch_fallback_ids")
         if self.objects is None:
             wanted = media.todo_from_urls(self.spark.table("cases_norm"), fallback, nothing)
@@ -158,7 +164,7 @@ class Job:
 
     def triage(self) -> None:
         name = self.name("batch_triage_raw")
-        tables.ensure_table(self.spark, name, tables.with_outcome(tables.TRIAGE_RESULTS))
+        self._state("batch_triage_raw", tables.TRIAGE_RESULTS)
         summarised = self.spark.table("batch_case_summaries").filter(F.col("summary").isNotNull())
         keyed = self._replace(
             summarised.withColumn("prompt_hash", prompt_hash(triage_prompt())), "triage_wanted"
@@ -199,7 +205,7 @@ class Job:
 
     def refine(self) -> None:
         name = self.name("batch_triage_policy_refined")
-        state = tables.ensure_table(self.spark, name, tables.with_outcome(tables.REFINED_ACTIONS))
+        state = self._state("batch_triage_policy_refined", tables.REFINED_ACTIONS)
         wanted = refine.refine_matched(self.table("triage_matched"), batch_size=None)
         keyed = wanted.withColumn("prompt_hash", prompt_hash(refine_prompt()))
         todo = pending_prompts(keyed, answered(state)).drop("prompt_hash")

@@ -451,8 +451,10 @@ SELECTS: dict[str, str] = {
       FROM titled""",
     "alignment_regex": """
       SELECT doc_id, pattern AS title,
-        CASE WHEN starts_with(pattern, '(') THEN 'review'
-          WHEN regexp_matches(lower(text), lower(string_split(pattern, ' ')[1])) THEN 'aligned'
+        CASE WHEN coalesce(
+            TRY(regexp_matches(lower(text), lower(string_split(pattern, ' ')[1]))),
+            TRY(regexp_matches(lower(text), regexp_replace(lower(string_split(pattern, ' ')[1]), '([*+?}])\\+', '\\1', 'g')))
+          ) THEN 'aligned'
           ELSE 'review' END AS alignment
       FROM (SELECT *, CASE doc_id % 4 WHEN 0 THEN '(' || title
           WHEN 1 THEN regexp_replace(title, '[aeiou]', '.', 'g') ELSE title END AS pattern

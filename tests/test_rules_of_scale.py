@@ -245,3 +245,21 @@ def test_audit_counts_the_tables_it_names(spark, monkeypatch):
             "refined_rows": "11_batch_triage_policy_refined",
         }[name]
         assert counted[table] == 7 < whole[table]
+
+
+def test_no_pattern_ends_or_stalls_the_job(spark):
+    words = ["a{1", "x{,3}", "[[]", "[a&&[b", "**", "(?<n>", "(?=a)", "\\1", "a{1001}", "(", "[", "(a+)+$", "d.g", "c++"]
+    text = "a dog and c " + "a" * 40_000 + "!"
+    df = spark.createDataFrame([(text, f"{w} policy") for w in words] * 3, "a string, t string").repartition(2)
+    started = time.monotonic()
+    flags = {r["t"].split(" ")[0]: r["flag"] for r in df.select("t", refine.alignment_flag(F.col("a"), F.col("t"), regex=True).alias("flag")).collect()}
+    assert time.monotonic() - started < 20
+    assert {w for w, f in flags.items() if f == "aligned"} == {"d.g", "c++"}
+
+
+def test_many_patterns_in_one_batch_keep_their_rows(spark):
+    given = [(f"item {i % 50} here", f"i.em\\s{i % 7}\\b") for i in range(500)] + [(None, "a.b"), ("a", None)]
+    df = spark.createDataFrame(given, "a string, t string")
+    got = [r[0] for r in df.select(refine.alignment_flag(F.col("a"), F.col("t"), regex=True)).collect()]
+    want = ["aligned" if a and t and re.search(t, a) else "review" for a, t in given]
+    assert got == want

@@ -147,3 +147,60 @@ def test_refinement_can_be_drained_in_batches(job, rows):
         job.refine()
         sizes.append(job.table("batch_triage_policy_refined").count())
     assert sizes == [2, 4, 5, 5]
+
+
+def test_a_failed_write_leaves_the_old_snapshot(spark, rows):
+    tables.replace_table(spark.range(3).toDF("x"), "t_snap")
+    broken = spark.range(8).select(F.when(F.col("id") > 5, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("x"))
+    with pytest.raises(Exception, match="lost"):
+        tables.replace_table(broken, "t_snap")
+    assert rows(spark.table("t_snap")) == [(0,), (1,), (2,)]
+    # A snapshot may be made from itself, and one that began to read the old version goes on.
+    old = spark.table("t_snap")
+    tables.replace_table(spark.table("t_snap").filter("x > 0"), "t_snap")
+    assert rows(spark.table("t_snap")) == [(1,), (2,)] and rows(old) == [(0,), (1,), (2,)]
+    for i in range(4):
+        tables.replace_table(spark.range(i).toDF("y"), "t_snap")
+    assert spark.table("t_snap").columns == ["y"] and len(tables._versions(spark, "t_snap")) == tables.KEPT_VERSIONS
+    tables.reset(spark, ["t_snap"])
+    assert not spark.catalog.tableExists("t_snap") and not tables._versions(spark, "t_snap")
+
+
+def test_a_plain_table_becomes_a_snapshot(spark, rows):
+    spark.range(2).toDF("x").write.saveAsTable("t_plain")
+    tables.replace_table(spark.range(1).toDF("x"), "t_plain")
+    assert rows(spark.table("t_plain")) == [(0,)]
+    tables.reset(spark, ["t_plain"])
+
+
+@pytest.mark.parametrize("partly", [False, True])
+def test_what_was_written_before_a_crash_is_appended_once(spark, rows, monkeypatch, partly):
+    tables.reset(spark, ["t_once"])
+    tables.ensure_table(spark, "t_once", tables.PHOTO_SUMMARIES)
+    tables.append(names(spark, [("first", "1", 0)]), "t_once")
+    new = names(spark, [("second", "2", 0), ("third", "3", 0), (None, "4", 0)])
+
+    def die(spark, name, path, rows):
+        if partly:  # some rows got there, the mark did not
+            rows.filter("service_request_id = '3'").write.insertInto(name)
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_publish", die)
+        with pytest.raises(KeyboardInterrupt):
+            tables.append(new, "t_once")
+    assert tables.recover(spark, "t_once") == 1
+    want = [("1", "first"), ("2", "second"), ("3", "third"), ("4", None)]
+    assert rows(spark.table("t_once")) == want
+    assert tables.recover(spark, "t_once") == 0 and rows(spark.table("t_once")) == want
+    tables.reset(spark, ["t_once"])
+
+
+def test_a_write_that_did_not_end_is_no_answer(spark, monkeypatch):
+    tables.reset(spark, ["t_half"])
+    tables.ensure_table(spark, "t_half", tables.PHOTO_SUMMARIES)
+    broken = names(spark, [("a", "1", 0)]).withColumn("summary_text", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        tables.append(broken, "t_half")
+    assert tables.recover(spark, "t_half") == 0 and spark.table("t_half").count() == 0
+    tables.reset(spark, ["t_half"])
