@@ -2,9 +2,11 @@
 
 A catalog below a checked byte size goes to every executor once and each query
 is answered in place: no shuffle, and only the query vector crosses to Python.
-A larger catalog is cut into blocks and the queries into chunks; every (chunk,
-block) cell is one bounded group, cells keep ``k`` rows per query, and a last
-step merges them.  Both ways give the same answer.
+A larger catalog of vectors is indexed (``vector_index``), and a query only meets
+the cells that can hold one of its nearest rows.  A larger catalog of token lists is
+cut into blocks and the queries into chunks; every (chunk, block) cell is one
+bounded group, cells keep ``k`` rows per query, and a last step merges them.  All ways
+give the same answer.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 
 from caseweave import fixed_values as fv
 from caseweave.deploy import ensure_on_workers
+from caseweave.operators import vector_index
 from caseweave.operators.lookup import measured_bytes
 from caseweave.sinks.staging import stage
 from caseweave.functions.nearest import (
@@ -49,13 +52,15 @@ def nearest(
     into: str = "candidates",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     chunk_bytes: int = CHUNK_BYTES,
+    probes: int | None = None,
 ) -> DataFrame:
     """Add an array of the ``k`` nearest catalog rows, nearest first.
 
     ``compare`` is ``vector`` for numeric arrays or ``tokens`` for token arrays.
     Rows without a usable vector get an empty array.  Above the bound rows are
     told apart by a number of their own, so null and repeated query ids get the
-    same answers as below it; ``query_id`` is not needed for the search.
+    same answers as below it; ``query_id`` is not needed for the search.  ``probes``
+    limits the cells of the index that a query looks into, at the price of missed rows.
     """
     label = F.col(base_label) if base_label else F.lit(None)
     base = catalog.select(
@@ -67,6 +72,13 @@ def nearest(
     size = _extent(base, compare)
     if size <= max_broadcast_bytes:
         return _in_place(queries, base, k, query_on, compare, into)
+    if compare == "vector":
+        index = vector_index.build(base, cell_bytes=max_broadcast_bytes // 8 + 1)
+        # Staged once: what made the query vectors is not asked again, and a row keeps its number.
+        queries = stage(queries.withColumn(_ROW, F.monotonically_increasing_id()), "queries")
+        asked = queries.select(F.col(_ROW).alias("row"), F.col(query_on).alias("vector"))
+        found = vector_index.search(index, asked, k, probes, chunk_bytes)
+        return _answered(queries, found, "row", into)
     return _by_cells(
         queries, base, k, query_on, compare, into,
         block_count(size, max_broadcast_bytes, compare), chunk_bytes,
@@ -158,13 +170,17 @@ def _by_cells(
         .select("query_id", F.inline("found"))
     )
     order = Window.partitionBy("query_id").orderBy("distance", "base_id")
+    best = parts.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= k)
+    return _answered(queries, best, "query_id", into)
+
+
+def _answered(queries: DataFrame, found: DataFrame, number: str, into: str) -> DataFrame:
+    """``queries`` with the found rows of each as an array, nearest first."""
     merged = (
-        parts.withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") <= k)
-        .groupBy("query_id")
+        found.groupBy(number)
         .agg(F.sort_array(F.collect_list(F.struct("distance", "base_id", "base_label"))).alias("_c"))
         .select(
-            F.col("query_id").alias(query_id),
+            F.col(number).alias(_ROW),
             F.transform(
                 "_c",
                 lambda c: F.struct(
@@ -176,7 +192,7 @@ def _by_cells(
         )
     )
     return (
-        queries.join(merged, query_id, "left")
+        queries.join(merged, _ROW, "left")
         .withColumn(into, F.coalesce(F.col(into), F.array().cast(CANDIDATES_DDL)))
         .drop(_ROW)
     )

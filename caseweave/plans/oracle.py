@@ -431,6 +431,7 @@ SELECTS: dict[str, str] = {
            ON k.bucket = i AND k.policy_id = p.policy_id) AS embedding FROM policies p""",
     "embed_hashed": "SELECT doc_id, bucket, n FROM document_buckets",
     "vector_topk": "SELECT * FROM given_candidates",
+    "vector_topk_indexed": "SELECT * FROM given_candidates",
     "sparse_topk": "SELECT doc_id, item_id, distance FROM ("
     + ranked_cosine("document_tokens", "item_tokens", "doc_id", "item_id", "w", 5)
     + ")",
