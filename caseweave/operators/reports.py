@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caseweave import fixed_values as fv
@@ -115,12 +115,20 @@ def review_examples(refined: DataFrame) -> DataFrame:
     )
 
 
-def row_count_audit(datasets: Mapping[str, DataFrame]) -> DataFrame:
-    """Row count of each named dataset, by name."""
+def row_count_audit(spark: SparkSession, datasets: Mapping[str, DataFrame | int]) -> DataFrame:
+    """Row count of each named dataset, by name.
+
+    A number is the count that was taken while the dataset was written; only
+    DataFrames are read.
+    """
+    known = [(name, n) for name, n in datasets.items() if not isinstance(n, DataFrame)]
     lines = [
         df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
         for name, df in datasets.items()
+        if isinstance(df, DataFrame)
     ]
+    if known:
+        lines.append(spark.createDataFrame(known, "name string, n bigint"))
     return reduce(DataFrame.unionByName, lines).orderBy("name")
 
 

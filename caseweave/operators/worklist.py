@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseweave.operators.topn import top_n
@@ -25,17 +25,23 @@ def pending_prompts(keyed: DataFrame, done: DataFrame, key: str = "service_reque
 
     Both sides have a ``prompt_hash``; a null one (nothing to ask) equals itself.
     """
-    asked, answers = F.coalesce(keyed["prompt_hash"], F.lit("")), done.select(
-        F.col(key).alias("_key"), F.coalesce("prompt_hash", F.lit("")).alias("_hash")
-    )
-    return keyed.join(answers, (keyed[key] == F.col("_key")) & (asked == F.col("_hash")), "left_anti")
+    answers = done.select(F.col(key).alias("_key"), "prompt_hash")
+    same = _same_prompt(keyed["prompt_hash"], answers["prompt_hash"])
+    return keyed.join(answers, (keyed[key] == F.col("_key")) & same, "left_anti")
+
+
+def _same_prompt(left: Column, right: Column) -> Column:
+    """Equality that is no join key: rows meet by case alone, so tables that are
+    bucketed by case need no shuffle.  A case has few prompts."""
+    held = F.array(F.coalesce(right, F.lit("")))
+    return F.array_contains(held, F.coalesce(left, F.lit("")))
 
 
 def current_answers(state: DataFrame, keyed: DataFrame, key: str = "service_request_id") -> DataFrame:
     """Rows of ``state`` that answer the prompt their case has now, one per case."""
-    now = keyed.select(F.col(key).alias("_key"), F.coalesce("prompt_hash", F.lit("")).alias("_hash"))
-    same = (state[key] == F.col("_key")) & (F.coalesce(state["prompt_hash"], F.lit("")) == F.col("_hash"))
-    return state.join(now, same, "left_semi")
+    now = keyed.select(F.col(key).alias("_key"), "prompt_hash")
+    same = _same_prompt(state["prompt_hash"], now["prompt_hash"])
+    return state.join(now, (state[key] == F.col("_key")) & same, "left_semi")
 
 
 def only(

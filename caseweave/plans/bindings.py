@@ -28,7 +28,7 @@ from caseweave.operators import (
 )
 from caseweave.operators.infer import with_keyword_theme
 from caseweave.sources.requests import normalise_requests
-from caseweave.sinks.staging import stage
+from caseweave.sinks.staging import stage, stage_counted
 from caseweave.sources.tables import read_table
 
 # Themes of the synthetic texts by the words that occur in them, first hit wins.
@@ -296,6 +296,11 @@ class Bindings:
             self.__dict__[name] = stage(getattr(self, name), name)
         return self
 
+    def written(self, name: str, which: str = "rows", **counts: Column) -> int:
+        """Writes this dataset as ``staged`` does; how many rows the writing tasks counted."""
+        self.__dict__[name], counted = stage_counted(getattr(self, name), name, **counts)
+        return counted[which]
+
     @cached_property
     def pool(self) -> DataFrame:
         return reports.parse_pool(reports.pool_of_matched(self.summaries, self.matched))

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from functools import partial
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseweave import fixed_values as fv
@@ -64,6 +64,7 @@ class Settings:
     analysis_pool: int | None = None  # rows of the table of best cases; None: all
     keep_null_text: bool = False
     generation: Mapping[str, Any] | None = None  # for instance fixed_values.GENERATION
+    buckets: int | None = None  # of tables with a row per case: joins by case need no shuffle
 
 
 @dataclass
@@ -88,9 +89,21 @@ class Job:
     def _replace(self, df: DataFrame, table: str) -> DataFrame:
         return tables.replace_table(df, self.name(table))
 
+    def _replace_cases(self, df: DataFrame, table: str, **counts: Column) -> DataFrame:
+        """A snapshot with a row per case, filed by case."""
+        return tables.replace_table(df, self.name(table), self._by_case(), **counts)
+
+    def _by_case(self) -> tuple[int, str] | None:
+        return (self.settings.buckets, "service_request_id") if self.settings.buckets else None
+
+    def _written(self, table: str, which: str = "rows") -> int:
+        return tables.written_rows(self.spark, self.name(table), which)
+
     def _state(self, table: str, schema) -> DataFrame:
         """A state table with the answers that an earlier run could not append any more."""
-        tables.ensure_table(self.spark, self.name(table), tables.with_outcome(schema))
+        tables.ensure_table(
+            self.spark, self.name(table), tables.with_outcome(schema), self._by_case()
+        )
         tables.recover(self.spark, self.name(table))
         return self.table(table)
 
@@ -160,13 +173,15 @@ class Job:
         return summaries.case_summaries(texts, self.spark.table("photo_summaries"))
 
     def summarise_cases(self) -> None:
-        tables.replace_view(self._summaries(self.table("batch_ids")), "batch_case_summaries")
+        """Written once: triage, the pool and the audit read it."""
+        made = self._summaries(self.table("batch_ids"))
+        tables.replace_view(self._replace_cases(made, "case_summaries"), "batch_case_summaries")
 
     def triage(self) -> None:
         name = self.name("batch_triage_raw")
         self._state("batch_triage_raw", tables.TRIAGE_RESULTS)
         summarised = self.spark.table("batch_case_summaries").filter(F.col("summary").isNotNull())
-        keyed = self._replace(
+        keyed = self._replace_cases(
             summarised.withColumn("prompt_hash", prompt_hash(triage_prompt())), "triage_wanted"
         )
         answers = self._ask(
@@ -194,12 +209,13 @@ class Job:
             embed.embed_cases(embed.search_theme(current), self.models.embed),
             "case_query_embeddings",
         )
-        matched = self._replace(
+        matched = self._replace_cases(
             match.matched_rows(
                 vectors, self.table("policy_embeddings"),
                 self.settings.max_distance, self.settings.neighbours,
             ),
             "triage_matched",
+            hits=F.count_if("policy_matched"),
         )
         tables.replace_view(matched.filter("policy_matched"), "batch_policy_matches")
 
@@ -231,19 +247,20 @@ class Job:
             "v_review_examples": reports.review_examples(refined),
             "v_validate_json": reports.validate_json(triage),
             "v_validate_counts": reports.row_count_audit(
+                self.spark,
                 {
                     "01_cases_norm": self.spark.table("cases_norm"),
                     "02_cases_for_classify": self.spark.table("cases_for_classify"),
                     "03_cases_text_quality": self.spark.table("cases_text_quality"),
-                    "04_batch_ids": self.table("batch_ids"),
-                    "05_batch_case_summaries": case_summaries,
+                    "04_batch_ids": self._written("batch_ids"),
+                    "05_batch_case_summaries": self._written("case_summaries"),
                     "06_batch_triage_raw": triage,
-                    "07_policy_chunks": self.table("policy_chunks"),
-                    "08_policy_embeddings": self.table("policy_embeddings"),
-                    "09_case_query_embeddings": self.table("case_query_embeddings"),
-                    "10_batch_policy_matches": self.spark.table("batch_policy_matches"),
+                    "07_policy_chunks": self._written("policy_chunks"),
+                    "08_policy_embeddings": self._written("policy_embeddings"),
+                    "09_case_query_embeddings": self._written("case_query_embeddings"),
+                    "10_batch_policy_matches": self._written("triage_matched", "hits"),
                     "11_batch_triage_policy_refined": refined,
-                }
+                },
             ),
         }
         for view, df in views.items():
@@ -251,7 +268,7 @@ class Job:
 
     def reset_summaries(self) -> None:
         """Forget photo summaries before a run with another photo source."""
-        tables.reset(self.spark, [self.name("batch_image_summaries"), "batch_case_summaries"])
+        tables.reset(self.spark, [self.name("batch_image_summaries"), "batch_case_summaries", self.name("case_summaries")])
 
     def reset_state(self) -> None:
         tables.reset(self.spark, [self.name(table) for table in self.STATE])

@@ -395,20 +395,24 @@ def cohort_match_rate(t):
 
 @query
 def row_count_audit(t):
-    """Counts the tables themselves, each written once, not what they are made from."""
-    t = t.staged("prepared", "quality", "summaries", "triage", "case_vectors", "matched", "refined")
+    """Counts the tables themselves, each written once, not what they are made from;
+    the tasks that write a table count it."""
+    t = t.staged("prepared")
     return reports.row_count_audit(
+        t.spark,
         {
             "01_cases_norm": t.cases,
             "02_cases_for_classify": t.cleaned,
-            "03_cases_text_quality": t.quality,
+            "03_cases_text_quality": t.written("quality"),
             "04_batch_ids": t.cohort,
-            "05_batch_case_summaries": t.summaries,
-            "06_batch_triage_raw": t.triage,
+            "05_batch_case_summaries": t.written("summaries"),
+            "06_batch_triage_raw": t.written("triage"),
             "07_policy_chunks": t.policies,
-            "08_policy_embeddings": t.policy_vectors,
-            "09_case_query_embeddings": t.case_vectors,
-            "10_batch_policy_matches": t.matched.filter("policy_matched"),
-            "11_batch_triage_policy_refined": t.refined,
-        }
+            "08_policy_embeddings": t.written("policy_vectors"),
+            "09_case_query_embeddings": t.written("case_vectors"),
+            "10_batch_policy_matches": t.written(
+                "matched", "hits", hits=F.count_if("policy_matched")
+            ),
+            "11_batch_triage_policy_refined": t.written("refined"),
+        },
     )

@@ -2,7 +2,8 @@
 
 A snapshot is a view on the newest of its version tables, so it is replaced by
 one change of the catalog after all rows are written; whoever reads it meanwhile
-reads the old version, also when the write fails.
+reads the old version, also when the write fails.  The tasks that write it count its
+rows, and the view keeps that number (``written_rows``), so nobody has to read it for that.
 
 Rows for append-only state are written to the shared folder first.  What was
 written there and not appended because a job died is appended by the next one
@@ -16,7 +17,7 @@ import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +27,7 @@ from caseweave.sinks.staging import shared_folder
 KEPT_VERSIONS = 2
 _VERSION = "__v"
 _DONE, _APPENDED = "_SUCCESS", "_APPENDED"
+_COUNTED = "caseweave.counted."
 
 
 def _strings(*names: str) -> T.StructType:
@@ -49,18 +51,24 @@ def with_outcome(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, *_strings(*extra).fields])
 
 
-def replace_table(df: DataFrame, name: str, bucket_by: tuple[int, str] | None = None) -> DataFrame:
+def replace_table(
+    df: DataFrame, name: str, bucket_by: tuple[int, str] | None = None, **counts: Column
+) -> DataFrame:
     """Create or replace a snapshot; its schema is that of the DataFrame, which may
     itself read the snapshot.
 
-    Bucketing by the case id lets later joins on it skip their shuffle.
+    Bucketing by the case id lets later joins on it skip their shuffle.  ``counts``
+    are further aggregates to take while rows are written; see ``written_rows``.
     """
     spark = df.sparkSession
     version = f"{name}{_VERSION}{time.time_ns():020d}"
-    writer = df.write.format("parquet")
     if bucket_by:
-        buckets, key = bucket_by
-        writer = writer.bucketBy(buckets, key).sortBy(key)
+        # Dealt out like the buckets, so that each is one file.
+        df = df.repartition(*bucket_by)
+    # On top of the plan: a task that is run again counts once.
+    seen = Observation()
+    taken = {"rows": F.count(F.lit(1)), **counts}
+    writer = _bucketed(df.observe(seen, *(c.alias(n) for n, c in taken.items())), bucket_by)
     try:
         writer.saveAsTable(version)
     except Exception:
@@ -68,12 +76,24 @@ def replace_table(df: DataFrame, name: str, bucket_by: tuple[int, str] | None =
         raise
     if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
         spark.sql(f"DROP TABLE {name}")  # a table of an earlier layout
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    numbers = ", ".join(f"'{_COUNTED}{n}' = '{v}'" for n, v in seen.get.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({numbers}) AS SELECT * FROM {version}")
     for old in _versions(spark, name)[:-KEPT_VERSIONS]:
         spark.sql(f"DROP TABLE IF EXISTS {old}")
     return spark.table(name)
 
 
+def _bucketed(df: DataFrame, bucket_by: tuple[int, str] | None):
+    writer = df.write.format("parquet")
+    return writer.bucketBy(*bucket_by).sortBy(bucket_by[1]) if bucket_by else writer
+
+
+def written_rows(spark: SparkSession, name: str, which: str = "rows") -> int:
+    """How many rows a snapshot has, as counted by the tasks that wrote it."""
+    held = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return int(held[_COUNTED + which])
+
+
 def _versions(spark: SparkSession, name: str) -> list[str]:
     """Version tables of a snapshot, the oldest first."""
     database, _, table = name.rpartition(".")
@@ -90,13 +110,27 @@ def replace_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def ensure_table(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
-    """Create an empty table with the declared schema unless it is there."""
+def ensure_table(
+    spark: SparkSession, name: str, schema: T.StructType, bucket_by: tuple[int, str] | None = None
+) -> DataFrame:
+    """Create an empty table with the declared schema unless it is there.
+
+    State that is bucketed by the case id is never shuffled to meet new work,
+    however much it has grown.  A table that is there keeps the layout it has.
+    """
     if not spark.catalog.tableExists(name):
-        spark.createDataFrame([], schema).write.mode("ignore").format("parquet").saveAsTable(name)
+        _bucketed(spark.createDataFrame([], schema), bucket_by).mode("ignore").saveAsTable(name)
     return spark.table(name)
 
 
+def _bucket_by(spark: SparkSession, name: str) -> tuple[int, str] | None:
+    """Number of buckets and column of a table that was made by ``ensure_table``."""
+    said = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    if "Num Buckets" not in said:
+        return None
+    return int(said["Num Buckets"]), said["Bucket Columns"].strip("[]`")
+
+
 def append(df: DataFrame, name: str) -> None:
     """Append by column name: order in ``df`` does not matter, extras are left out.
 
@@ -135,7 +169,8 @@ def _digest(columns: list[str]) -> Column:
 
 
 def _publish(spark: SparkSession, name: str, path: str, rows: DataFrame) -> None:
-    rows.select(*spark.table(name).columns).write.insertInto(name)
+    rows, bucket_by = rows.select(*spark.table(name).columns), _bucket_by(spark, name)
+    (rows.repartition(*bucket_by) if bucket_by else rows).write.insertInto(name)
     _files(spark, path)[0].create(_path(spark, f"{path}/{_APPENDED}")).close()
     spark.catalog.refreshTable(name)
 

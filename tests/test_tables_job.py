@@ -3,6 +3,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from caseweave.operators import reports
+from caseweave.operators.infer import answered
+from caseweave.operators.worklist import current_answers, pending_prompts
 from caseweave.plans.job import Job, Models, Settings
 from caseweave.sinks import staging, tables
 
@@ -204,3 +207,45 @@ def test_a_write_that_did_not_end_is_no_answer(spark, monkeypatch):
         tables.append(broken, "t_half")
     assert tables.recover(spark, "t_half") == 0 and spark.table("t_half").count() == 0
     tables.reset(spark, ["t_half"])
+
+
+def test_snapshots_know_their_rows(spark):
+    df = spark.range(7).toDF("x")
+    tables.replace_table(df, "t_counted", odd=F.count_if(F.col("x") % 2 == 1))
+    tables.replace_table(spark.table("t_counted").where("x > 1"), "t_fewer", bucket_by=(3, "x"))
+    tables.replace_table(df.limit(0), "t_none")
+    assert tables.written_rows(spark, "t_counted") == 7 and tables.written_rows(spark, "t_counted", "odd") == 3
+    assert tables.written_rows(spark, "t_fewer") == spark.table("t_fewer").count() == 5
+    assert tables.written_rows(spark, "t_none") == 0
+    tables.reset(spark, ["t_counted", "t_fewer", "t_none"])
+    staged, counted = staging.stage_counted(df, "counted", top=F.max("x"))
+    assert counted == {"rows": 7, "top": 6} and staged.count() == 7
+
+
+def test_job_tables_meet_by_case_without_a_shuffle(job, spark, rows):
+    job.run()
+    plain = {t: rows(job.table(t)) for t in Job.STATE}
+    audit = rows(spark.table("v_validate_counts"))
+    job.reset_state()
+    job.settings = Settings(per_stratum=10, max_distance=0.9, buckets=3)
+    job.run()
+    job.run()  # the second run appends nothing
+    assert {t: rows(job.table(t)) for t in Job.STATE} == plain
+    assert rows(spark.table("v_validate_counts")) == audit
+    assert dict(audit)["05_batch_case_summaries"] == spark.table("batch_case_summaries").count()
+    assert dict(audit)["10_batch_policy_matches"] == spark.table("batch_policy_matches").count()
+    # Appended in pieces, a state table still is in its buckets.
+    answers = job.table("batch_triage_raw")
+    tables.append(answers.withColumn("prompt_hash", F.lit("old")), job.name("batch_triage_raw"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keyed, state = job.table("triage_wanted"), answered(job.table("batch_triage_raw"))
+        for joined, many in (
+            (reports.pool_of_matched(spark.table("batch_case_summaries"), job.table("triage_matched")), 5),
+            (pending_prompts(keyed, state), 0),
+            (current_answers(state, keyed), 5),
+        ):
+            assert joined.count() == many
+            assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
