@@ -1,12 +1,12 @@
 """Exact copies through an extendible-hash index kept in shared files.
 
-Every distinct text gets one index entry.  Texts meet in a hash aggregate, which
-compares whole keys byte for byte, so two texts with the same hash stay two
-entries of one chain; the aggregate starts before the shuffle, so a group of
-copies crosses the network at most once per task.  The index is then laid out by
-a directory over the leading bits of the hash: a bucket with too many entries is
-split, the directory doubles when a split needs more bits, and each bucket is one
-owner's key range.  Rows probe the index by (bucket, hash, digest).
+A directory over the leading bits of the hash addresses buckets: one with too many
+entries is split, and the directory doubles when a split needs more bits.  Each bucket is
+a range of keys and has one owner task, which gets every text of the range, chains those
+that share a hash and compares them byte for byte; it writes one entry per distinct text,
+bucket by bucket.  Texts that are a large share of the table are counted before they are
+sent, so their owner gets them once per task.  Rows then probe the files by
+(bucket, hash, digest); the index alone says which row stays.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from caseweave.llm.native import whole_text
 from caseweave.sinks.staging import stage
 from caseweave.sources.tables import estimated_bytes
 
-BUCKET_ENTRIES = 1 << 20
-DIRECTORY_BITS = 12
+#: Entries of a bucket before it splits, and the bits that a directory may grow to (65,536 buckets).
+BUCKET_ENTRIES, DIRECTORY_BITS = 512, 16
 HOT_SHARE = 1024
 SMALL_VERDICTS = 64 << 20
 
@@ -36,8 +36,18 @@ class Directory:
     def owner(self, key: Column) -> Column:
         if self.depth == 0:
             return F.lit(0)
-        slot = F.shiftrightunsigned(key, 64 - self.depth).cast("int")
-        return F.get(F.array(*map(F.lit, self.slots)), slot)
+        # One constant, however long the directory is.
+        slots = F.split(F.lit(",".join(map(str, self.slots))), ",").cast("array<int>")
+        return F.get(slots, _leading(key, self.depth))
+
+
+def _leading(key: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(key, 64 - bits).cast("int") if bits else F.lit(0)
+
+
+def directory_bits(keys: int, capacity: int, most: int = DIRECTORY_BITS) -> int:
+    """Bits to count keys by: enough for even buckets, and two more for uneven ones."""
+    return min(most, max(-(-keys // capacity) - 1, 0).bit_length() + 2) if keys > capacity else 0
 
 
 def build_directory(counts: dict[int, int], bits: int, capacity: int) -> Directory:
@@ -79,21 +89,37 @@ def build_index(
     Entries with one key are a chain.  ``hash_bits`` below 64 only serves tests,
     which need such collisions.
     """
-    rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("body"))
+    rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("body")).select(
+        _key(F.col("body"), hash_bits).alias("key"),
+        "body",
+        F.col("id").alias("keep_id"),
+        F.lit(1).cast("long").alias("group_size"),
+    )
+    keys = stage(rows.groupBy("key").agg(F.count("*").alias("rows")), "exact-keys")
+    seen = keys.agg(F.count("*").alias("keys"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
+    bits = directory_bits(seen["keys"], bucket_entries)
+    prefix = _leading(F.col("key"), bits).alias("prefix")
+    counts = {r[0]: r[1] for r in keys.groupBy(prefix).count().collect()}  # at most 2 ** DIRECTORY_BITS
+    directory = build_directory(counts, bits, bucket_entries)
+    # Keys over one row in HOT_SHARE number less than HOT_SHARE.
+    hot = F.broadcast(keys.where(F.col("rows") * HOT_SHARE > seen["rows"]).select("key"))
+    counted = (F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+    sent = rows.join(hot, "key", "left_anti").unionByName(
+        rows.join(hot, "key", "left_semi").groupBy("key", "body").agg(*counted)
+    )
     entries = (
-        rows.withColumn("key", _key(F.col("body"), hash_bits))
-        .groupBy("key", "body")
-        .agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
-        .select("key", F.sha2("body", 256).alias("sha256"), "keep_id", "group_size")
+        sent.withColumn("owner", directory.owner(F.col("key")))
+        .repartition("owner")
+        .groupBy("owner", "key", "body")  # where the rows are: their owner's task compares the bytes
+        .agg(*counted)
+        .select("owner", "key", F.sha2("body", 256).alias("sha256"), "keep_id", "group_size")
+        .sortWithinPartitions("owner", "key")
     )
-    staged = stage(entries, "exact-entries")
-    prefix = F.shiftrightunsigned("key", 64 - DIRECTORY_BITS).cast("int").alias("prefix")
-    counts = {r[0]: r[1] for r in staged.groupBy(prefix).count().collect()}  # at most 2 ** DIRECTORY_BITS
-    directory = build_directory(counts, DIRECTORY_BITS, bucket_entries)
+    index = stage(entries, "exact-index")
     # Links of a chain are told apart by their digest; that it does so was compared byte for byte above.
-    if not staged.groupBy("key", "sha256").count().where("count > 1").isEmpty():
+    if not index.groupBy("owner", "key", "sha256").count().where("count > 1").isEmpty():
         raise ValueError("different texts share both their hash and their SHA-256")
-    return staged.withColumn("owner", directory.owner(F.col("key"))), directory
+    return index, directory
 
 
 def _key(body: Column, bits: int) -> Column:

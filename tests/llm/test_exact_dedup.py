@@ -2,9 +2,10 @@ import hashlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from caseweave.llm import exact_dedup
-from caseweave.llm.exact_dedup import build_directory, drop_copies, exact_copies
+from caseweave.llm.exact_dedup import build_directory, build_index, directory_bits, drop_copies, exact_copies
 
 
 def expected(rows):
@@ -59,3 +60,40 @@ def test_stage_keeps_columns_with_our_names(table, rows):
     )
     kept = exact_dedup.drop_copies(wide)
     assert kept.columns == wide.columns and rows(kept, "doc_id", "own", "_id") == [(6, 1, "x"), (7, 1, "x"), (8, 1, "x")]
+
+
+def test_index_alone_answers_from_split_buckets(spark, rows):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    index, directory = build_index(docs)
+    assert directory.depth > 0
+    # Owners are key ranges, each in one file, in the order of its keys.
+    placed = index.select("owner", F.shiftrightunsigned("key", 1).alias("key"), F.input_file_name().alias("file"))
+    ranges = placed.groupBy("owner").agg(F.min("key"), F.max("key"), F.countDistinct("file")).orderBy("owner").collect()
+    assert len(ranges) == len(set(directory.slots)) and all(r[3] == 1 for r in ranges)
+    assert all(a[2] < b[1] for a, b in zip(ranges, ranges[1:]))
+    groups = defaultdict(list)
+    for i, text in docs.select("doc_id", "text").collect():
+        groups[text or ""].append(i)
+    want = [(max(ids), len(ids), hashlib.sha256(t.encode()).hexdigest()) for t, ids in groups.items()]
+    assert rows(index, "keep_id", "group_size", "sha256") == sorted(want, key=str)
+
+
+def test_texts_meet_in_their_owners_task_once(spark, table, monkeypatch):
+    """One shuffle of texts, by owner; only frequent ones are counted before it."""
+    plans = []
+    real = exact_dedup.stage
+    monkeypatch.setattr(
+        exact_dedup, "stage",
+        lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or real(df, name),
+    )
+    build_index(table([(i, f"text {i}") for i in range(3000)]))
+    plan = dict(plans)["exact-index"]
+    assert plan.count("Exchange hashpartitioning(owner") == 1 and "Python" not in plan and "SortAggregate" not in plan
+
+
+def test_directory_grows_with_the_keys():
+    assert directory_bits(0, 512) == directory_bits(512, 512) == 0
+    assert directory_bits(513, 512) == 3 and directory_bits(5120, 512) == 6
+    assert directory_bits(10**12, 512) == exact_dedup.DIRECTORY_BITS
+    wide = build_directory({i: 9 for i in range(1 << 12)}, 12, 10)
+    assert wide.depth == 12 and len(set(wide.slots)) == 1 << 12
