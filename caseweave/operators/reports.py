@@ -72,13 +72,30 @@ def cohort_match_rate(cohort: DataFrame) -> DataFrame:
 
     One pass over the cohort yields both lines.
     """
+    return _rates(match_counts(cohort))
+
+
+#: Columns of a partial match count.  Counts of disjoint rows add up, rates do not.
+MATCH_COUNTS = ("text_total", "text_matched", "all_total", "all_matched")
+
+
+def match_counts(cohort: DataFrame) -> DataFrame:
+    """What match rates are made of, as one row that can be kept and added to others."""
     text, hit = F.col("summary_source") == "text", F.col("policy_matched")
-    counts = cohort.agg(
+    return cohort.agg(
         F.count_if(text).alias("text_total"),
         F.count_if(text & hit).alias("text_matched"),
         F.count(F.lit(1)).alias("all_total"),
         F.count_if(hit).alias("all_matched"),
     )
+
+
+def merged_match_rate(partials: DataFrame) -> DataFrame:
+    """``cohort_match_rate`` of all rows, from the ``match_counts`` of disjoint parts of them."""
+    return _rates(partials.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in MATCH_COUNTS)))
+
+
+def _rates(counts: DataFrame) -> DataFrame:
     lines = F.array(
         *[
             F.struct(
@@ -95,7 +112,20 @@ def cohort_match_rate(cohort: DataFrame) -> DataFrame:
 
 def share_of_total(rows: DataFrame, by: str = "alignment") -> DataFrame:
     """Count and percentage per value of a label; the window sees only the counts."""
-    counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("ct"))
+    return _shares(label_counts(rows, by), by)
+
+
+def label_counts(rows: DataFrame, by: str = "alignment") -> DataFrame:
+    """What shares are made of: rows per value of a label, nulls as a value of their own."""
+    return rows.groupBy(by).agg(F.count(F.lit(1)).alias("ct"))
+
+
+def merged_share(partials: DataFrame, by: str = "alignment") -> DataFrame:
+    """``share_of_total`` of all rows, from the ``label_counts`` of disjoint parts of them."""
+    return _shares(partials.groupBy(by).agg(F.sum("ct").alias("ct")), by)
+
+
+def _shares(counts: DataFrame, by: str) -> DataFrame:
     total = F.sum("ct").over(Window.partitionBy())
     return counts.withColumn("pct", F.round(100 * F.col("ct") / total, 1)).orderBy(
         F.desc("ct"), by

@@ -143,6 +143,23 @@ def append(df: DataFrame, name: str) -> None:
     _publish(spark, name, path, spark.read.schema(spark.table(name).schema).parquet(path))
 
 
+def append_run(df: DataFrame, name: str, run: str) -> bool:
+    """Append what a run found, for instance its counts, to a table with a column ``run``,
+    unless the table has that run already; tells whether it had not.
+
+    Reports then add up the few rows of all runs and never read old cases again.
+    A run is in the table as a whole or not at all, also after a crash.
+    """
+    spark = df.sparkSession
+    tagged = df.withColumn("run", F.lit(run))
+    ensure_table(spark, name, tagged.schema)
+    recover(spark, name)
+    if not spark.table(name).where(F.col("run") == run).isEmpty():
+        return False
+    append(tagged, name)
+    return True
+
+
 def recover(spark: SparkSession, name: str) -> int:
     """Append what an earlier job had written and not yet appended, without the rows
     that got there; returns how many such writes there were.
