@@ -505,6 +505,10 @@ def _mentioned(sql: str) -> set[str]:
     return {name for name in DATASETS if re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", sql)}
 
 
+SELECTS["share_of_total_of_runs"] = SELECTS["share_of_total"]
+SELECTS["match_rate_of_runs"] = SELECTS["cohort_match_rate"]
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for key, select in SELECTS.items():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from caseweave.operators import (
 )
 from caseweave.plans import bindings as b
 from caseweave.plans.bindings import Bindings
+from caseweave.sinks.staging import stage
 from caseweave.sources import reference_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -363,6 +365,28 @@ def share_of_total(t):
     return reports.share_of_total(t.refined)
 
 
+RUNS = 3
+
+
+def _by_runs(rows, counts):
+    """The counts of each of ``RUNS`` parts of the cases, as runs would leave them."""
+    rows = stage(rows, "runs")
+    run = F.pmod(F.xxhash64("service_request_id"), F.lit(RUNS))
+    return reduce(DataFrame.unionByName, [counts(rows.where(run == r)) for r in range(RUNS)])
+
+
+@query
+def share_of_total_of_runs(t):
+    """Shares of all rows from the counts of each run."""
+    return reports.merged_share(_by_runs(t.refined, reports.label_counts))
+
+
+@query
+def match_rate_of_runs(t):
+    """Rates of all rows from the counts of each run."""
+    return reports.merged_match_rate(_by_runs(reports.full_cohort(t.pool), reports.match_counts))
+
+
 # --- analysis ---------------------------------------------------------------
 
 
