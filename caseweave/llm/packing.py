@@ -73,14 +73,16 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Slots]:
     return slots
 
 
-def token_pieces(text: Column, tokenizer: str, capacity: int, end_id: int | None) -> Column:
+def token_pieces(
+    text: Column, tokenizer: str, capacity: int, end_id: int | None, remembered: int | None = None
+) -> Column:
     """A struct for each text: its number of ids and the crc32 of each piece."""
     prepare()
 
     @pandas_udf("ids bigint, crcs array<bigint>")
     @tidy
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, remembered).encode
         end = b"" if end_id is None else end_id.to_bytes(4, "little")
         for batch in batches:
             coded = [encode(t) + end for t in batch]
@@ -102,6 +104,7 @@ def cut_documents(
     text_col: str = "text",
     capacity: int = CAPACITY,
     end_id: int | None = END_ID,
+    remembered: int | None = None,
 ) -> DataFrame:
     """Pieces of at most ``capacity`` ids: id, piece, start, length, ids_crc32.
 
@@ -109,7 +112,7 @@ def cut_documents(
     """
     cut = docs.select(
         F.col(id_col).alias(id_col),
-        token_pieces(whole_text(text_col), tokenizer, capacity, end_id).alias("cut"),
+        token_pieces(whole_text(text_col), tokenizer, capacity, end_id, remembered).alias("cut"),
     )
     return cut.select(id_col, "cut.ids", F.posexplode("cut.crcs").alias("piece", "ids_crc32")).select(
         id_col,
@@ -168,11 +171,14 @@ def pack_documents(
     text_col: str = "text",
     capacity: int = CAPACITY,
     end_id: int | None = END_ID,
+    remembered: int | None = None,
 ) -> DataFrame:
     """Documents to packed pieces; the tokenizer runs once, its pieces are staged.
 
     Columns: id, piece, start, length, ids_crc32, sequence_id, offset.  Rows with
     null or repeated ids are documents of their own, an empty table gives an
-    empty result, and other columns of ``docs`` play no part.
+    empty result, and other columns of ``docs`` play no part.  A worker remembers the ids
+    of so many pieces (twice that at times): fewer take less memory and more time.
     """
-    return pack(stage(cut_documents(docs, tokenizer, id_col, text_col, capacity, end_id), "pieces"), id_col, capacity)
+    cut = cut_documents(docs, tokenizer, id_col, text_col, capacity, end_id, remembered)
+    return pack(stage(cut, "pieces"), id_col, capacity)
