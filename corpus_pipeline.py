@@ -21,6 +21,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 CLEAR_SCORE = 0.25
 #: A shorter text can be a name or a quotation.
 CLEAR_CHARS = 100
+#: Pieces a worker remembers while packing: fewer than usual, as earlier stages have filled the JVM beside it.
+REMEMBERED = 100_000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +62,9 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens; a document that was drawn twice is packed twice."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(
+        docs, public_tokenizers.path("word_bpe_49k.json"), remembered=REMEMBERED
+    )
 
 
 STAGES = [
