@@ -145,3 +145,20 @@ def fill(template: str, **columns: Column) -> Column:
 def tokens(text: Column) -> Column:
     """Lower-case words and numbers of the whole text."""
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+
+
+def same_ignoring_case(left: Column, right: Column) -> Column:
+    """Equality without case, as the collation UTF8_LCASE has it; null if either side is.
+
+    Strings are equal if their lower-case forms are, letter by letter: the Kelvin sign is a
+    k, every sigma is the same wherever it stands, and the Turkish dotted capital I is
+    an i followed by a combining dot.  Nothing is folded further, so ß is not ss.
+
+    Both sides are plain strings, because Spark joins collated ones by sorting only:
+    a small table of labels could not be broadcast.
+    """
+    return _without_case(left) == _without_case(right)
+
+
+def _without_case(text: Column) -> Column:
+    return F.translate(F.lower(text), "ς", "σ")

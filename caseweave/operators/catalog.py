@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseweave.functions.text import trim_unicode
+from caseweave.functions.text import same_ignoring_case, trim_unicode
 from caseweave.operators.embed import Embedder, embed_text, hashed_vector
 from caseweave.operators.lookup import broadcast_if_small
 
@@ -37,7 +37,7 @@ def theme_validation(policies: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """Is each policy's theme a known label, case ignored?"""
     known = broadcast_if_small(taxonomy.select("label_value"))
     return policies.join(
-        known, F.lower("target_theme") == F.lower("label_value"), "left"
+        known, same_ignoring_case(F.col("target_theme"), F.col("label_value")), "left"
     ).select(
         "policy_id",
         "title",

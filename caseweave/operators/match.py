@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseweave import fixed_values as fv
+from caseweave.functions.text import same_ignoring_case
 from caseweave.operators.embed import Embedder, embed_cases, hashed_vector, search_theme
 from caseweave.operators.search import nearest, with_policy
 from caseweave.operators.worklist import absent
@@ -22,7 +23,7 @@ def _best(candidates: DataFrame, max_distance: float) -> DataFrame:
 
 def best_same_label(candidates: DataFrame, max_distance: float = fv.MAX_DISTANCE) -> DataFrame:
     """Nearest candidate whose label equals the case theme, case ignored."""
-    same = F.lower("case_theme") == F.lower("target_theme")
+    same = same_ignoring_case(F.col("case_theme"), F.col("target_theme"))
     return _best(candidates.filter(same), max_distance)
 
 
@@ -42,8 +43,8 @@ def with_match(
     found: DataFrame, max_distance: float = fv.MAX_DISTANCE, into: str = "match"
 ) -> DataFrame:
     """Both tiers as expressions over the sorted candidate array: no shuffle."""
-    theme, near = F.lower("theme"), F.col("candidates")
-    same = F.filter(near, lambda c: F.lower(c["base_label"]) == theme)
+    theme, near = F.col("theme"), F.col("candidates")
+    same = F.filter(near, lambda c: same_ignoring_case(c["base_label"], theme))
     staged = found.withColumn("_same", F.get(same, F.lit(0))).withColumn(
         "_any", F.get(near, F.lit(0))
     )
