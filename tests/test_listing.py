@@ -1,6 +1,10 @@
+from types import SimpleNamespace
+
 import pytest
+from pyarrow import fs
 
-from caseweave.sources.listing import list_prefixes
+from caseweave.sources import listing
+from caseweave.sources.listing import ListingReader, list_prefixes
 from caseweave.sources.requests import list_objects, with_object_id
 
 
@@ -33,3 +37,15 @@ def test_empty_and_missing_folder(spark, tmp_path):
     assert list_prefixes(spark, str(tmp_path)).count() == 0
     with pytest.raises(Exception, match="(?i)not exist|no such|not found"):
         list_prefixes(spark, str(tmp_path / "none")).count()
+
+
+@pytest.mark.parametrize(
+    ("folder", "root", "start"),
+    [("gs://bucket/photos", "bucket/photos", "gs://"), ("s3://bucket", "bucket", "s3://"), ("hdfs://name:8020/photos", "/photos", "hdfs://name:8020")],
+)
+def test_uris_of_remote_stores(monkeypatch, folder, root, start):
+    """Object stores give the bucket back in the path, others leave the host out of it."""
+    store = SimpleNamespace(from_uri=lambda uri: (object(), root))
+    monkeypatch.setattr(listing, "fs", SimpleNamespace(FileSystem=store, LocalFileSystem=fs.LocalFileSystem))
+    _, found, prefix = ListingReader(folder, "*")._store()
+    assert (found, prefix + found) == (root, folder) and prefix == start
