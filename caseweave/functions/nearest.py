@@ -147,7 +147,17 @@ def _dense(batch: pa.Array, dim: int | None = None) -> tuple[np.ndarray, np.ndar
     values = batch.drop_null().flatten().cast(pa.float64())
     matrix = values.to_numpy(zero_copy_only=False).reshape(len(rows), dim)
     good = np.isfinite(matrix).all(axis=1)
-    return rows[good], matrix[good]
+    return (rows, matrix) if good.all() else (rows[good], matrix[good])
+
+
+def unit_rows(batch: pa.Array, dim: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and unit vectors of the rows that have a direction."""
+    rows, matrix = _dense(batch, dim)
+    norms = np.linalg.norm(matrix, axis=1)
+    some = norms > 0
+    if not some.all():
+        rows, matrix, norms = rows[some], matrix[some], norms[some]
+    return rows, matrix / norms[:, None]
 
 
 def _codes(batch: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:

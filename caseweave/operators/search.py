@@ -32,7 +32,7 @@ from caseweave.functions.nearest import (
 )
 
 MAX_BROADCAST_BYTES = 64 << 20
-CHUNK_BYTES = 128 << 20
+CHUNK_BYTES = 32 << 20
 
 _ROW = "_query_row"
 _BLOCKS = {"vector": VectorBlock, "tokens": TokenBlock}

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -84,3 +86,29 @@ def test_search_uses_it_above_the_bound(spark, rows):
     here, there = (search.nearest(left, right, 4, max_broadcast_bytes=n) for n in (1 << 30, 4096))
     read = lambda df: rows(df.select("service_request_id", F.col("candidates.base_id").cast("string")))
     assert read(here) == read(there)
+
+
+def test_centroids_take_bounded_memory(monkeypatch):
+    monkeypatch.setattr(vector_index, "ROUNDS", 1)
+    unit = np.random.default_rng(2).normal(0, 1, (20_000, 4))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    tracemalloc.start()
+    learned = vector_index.learn_centroids(unit, 2_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert learned.shape == (2_000, 4) and peak < 64 << 20  # all distances at once are 320 MB
+
+
+def test_a_query_is_sent_to_a_block_once(spark, rows, monkeypatch):
+    """Without clusters no cell can be skipped, and cells are far more than blocks."""
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(0, 1, (400, 16)).tolist()
+    base = spark.createDataFrame([(f"p{i:03}", None, v) for i, v in enumerate(vectors)], "base_id string, base_label string, base_on array<double>")
+    queries = spark.createDataFrame(list(enumerate(vectors[:40])), "row bigint, vector array<double>")
+    index = vector_index.build(base, 100)
+    looked = []
+    real = vector_index._look
+    monkeypatch.setattr(vector_index, "_look", lambda i, asked, *a: looked.append(asked.select(F.sum(F.size("cells"))).first()[0] or 0) or real(i, asked, *a))
+    found = rows(vector_index.search(index, queries, 5, block_bytes=400 * 128 // 3), "row", "base_id", "distance")
+    assert sorted(found, key=lambda r: (r[0], r[1])) == everything(base, queries, 5)
+    assert sum(looked) <= 40 * 8
