@@ -15,7 +15,8 @@ import pyarrow.compute as pc
 
 # Distances closer than this are ties, broken by base id.
 DECIMALS = 9
-_CELLS = 1 << 22  # scores held at once per task: 32 MB of doubles
+_CELLS = 1 << 21  # scores held at once per task: 16 MB of doubles
+_TOKENS = 1 << 18  # tokens counted at once
 
 CANDIDATE = pa.struct(
     [("base_id", pa.string()), ("base_label", pa.string()), ("distance", pa.float64())]
@@ -27,9 +28,7 @@ class VectorBlock:
     """Base rows with dense vectors, compared by cosine distance."""
 
     def __init__(self, ids, labels, vectors: pa.Array):
-        rows, matrix = _dense(vectors)
-        norms = np.linalg.norm(matrix, axis=1)
-        rows, matrix = rows[norms > 0], matrix[norms > 0] / norms[norms > 0, None]
+        rows, matrix = unit_rows(vectors)
         order = sorted(range(len(rows)), key=lambda i: ids[rows[i]])
         self.ids = [ids[rows[i]] for i in order]
         self.labels = [labels[rows[i]] for i in order]
@@ -37,12 +36,10 @@ class VectorBlock:
 
     def queries(self, batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Row numbers that can be compared, and their unit vectors."""
-        rows, matrix = _dense(batch, self.unit.shape[1])
-        norms = np.linalg.norm(matrix, axis=1)
-        return rows[norms > 0], matrix[norms > 0] / norms[norms > 0, None]
+        return unit_rows(batch, self.unit.shape[1])
 
     def distances(self, unit: np.ndarray) -> np.ndarray:
-        return 1.0 - unit @ self.unit.T
+        return _distances(unit, self.unit)
 
 
 class TokenBlock:
@@ -75,7 +72,16 @@ class TokenBlock:
         return usable, weights / np.sqrt(squares[usable])[:, None]
 
     def distances(self, unit: np.ndarray) -> np.ndarray:
-        return 1.0 - unit @ self.unit.T
+        return _distances(unit, self.unit)
+
+
+def _distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Rounded cosine distances of unit vectors, in one array."""
+    scores = left @ right.T
+    np.subtract(1.0, scores, out=scores)
+    np.round(scores, DECIMALS, out=scores)
+    scores += 0.0
+    return scores
 
 
 def top_candidates(block, batch: pa.Array, k: int) -> pa.Array:
@@ -92,8 +98,7 @@ def top_candidates(block, batch: pa.Array, k: int) -> pa.Array:
         index, distance = np.zeros(0, np.int64), np.zeros(0)
         if block.ids:
             rows, unit = block.queries(part)
-            scores = np.round(block.distances(unit), DECIMALS) + 0.0
-            at, index, distance = _smallest(scores, k)
+            at, index, distance = _smallest(block.distances(unit), k)
             np.add.at(per_row, rows[at], 1)
         offsets = np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32)
         values = pa.StructArray.from_arrays(
