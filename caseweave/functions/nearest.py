@@ -118,10 +118,16 @@ def top_candidates(block, batch: pa.Array, k: int) -> pa.Array:
 def hashed_counts(batch: pa.Array, buckets: int) -> pa.Array:
     """Token lists to term counts per md5 bucket; null lists stay null."""
     batch = _one_array(batch)
-    rows, coded, vocabulary = _codes(batch)
-    heads = np.fromiter(map(_md5_head, vocabulary.to_pylist()), np.int64, len(vocabulary))
-    cells = rows * buckets + (heads % buckets)[coded]
-    counts = np.bincount(cells, minlength=len(batch) * buckets).astype(np.float32)
+    sizes = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
+    before = np.cumsum(sizes, dtype=np.int64) // _TOKENS
+    counts = np.zeros(len(batch) * buckets, np.float32)
+    # Some rows at a time: codes and cells take several times the bytes of their tokens.
+    edges = [0, *(np.flatnonzero(np.diff(before)) + 1).tolist(), len(batch)]
+    for start, end in zip(edges, edges[1:]):
+        rows, coded, vocabulary = _codes(batch.slice(start, end - start))
+        heads = np.fromiter(map(_md5_head, vocabulary.to_pylist()), np.int64, len(vocabulary))
+        cells = rows * buckets + (heads % buckets)[coded]
+        counts[start * buckets : end * buckets] = np.bincount(cells, minlength=(end - start) * buckets)
     offsets = np.arange(len(batch) + 1, dtype=np.int32) * buckets
     return pa.ListArray.from_arrays(
         pa.array(offsets), pa.array(counts), mask=batch.is_null()
