@@ -230,9 +230,14 @@ class Bindings:
     def case_vectors(self) -> DataFrame:
         return embed.embed_cases(self.case_queries)
 
+    @cached_property
+    def embedded(self) -> DataFrame:
+        """Triage rows with the theme and the vector that they are searched by."""
+        return embed.embed_cases(embed.search_theme(self.triage, trim=True))
+
     @cached_property
     def matched(self) -> DataFrame:
-        return self.match(self.triage)
+        return match.matched_rows(self.embedded, self.policy_vectors, TEXT_MAX_DISTANCE)
 
     @cached_property
     def matches(self) -> DataFrame:
@@ -285,6 +290,11 @@ class Bindings:
         """Done cases leave before the search, so only open ones are matched."""
         return refine.refine_matched(self.match(self.open_triage), batch_size=None)
 
+    @cached_property
+    def todo_of_matched(self) -> DataFrame:
+        """The same rows as ``refine_todo`` from rows that are matched, for those who have them."""
+        return refine.refine_matched(worklist.pending(self.matched, self.refined_before), batch_size=None)
+
     def match(self, triage: DataFrame) -> DataFrame:
         return match.matched_triage(
             triage, self.policy_vectors, TEXT_MAX_DISTANCE, trim_theme=True

@@ -420,23 +420,23 @@ def cohort_match_rate(t):
 @query
 def row_count_audit(t):
     """Counts the tables themselves, each written once, not what they are made from;
-    the tasks that write a table count it."""
+    the tasks that write a table count it.  Each builds on the one before, so that texts
+    are embedded once and searched once."""
     t = t.staged("prepared")
-    return reports.row_count_audit(
-        t.spark,
-        {
-            "01_cases_norm": t.cases,
-            "02_cases_for_classify": t.cleaned,
-            "03_cases_text_quality": t.written("quality"),
-            "04_batch_ids": t.cohort,
-            "05_batch_case_summaries": t.written("summaries"),
-            "06_batch_triage_raw": t.written("triage"),
-            "07_policy_chunks": t.policies,
-            "08_policy_embeddings": t.written("policy_vectors"),
-            "09_case_query_embeddings": t.written("case_vectors"),
-            "10_batch_policy_matches": t.written(
-                "matched", "hits", hits=F.count_if("policy_matched")
-            ),
-            "11_batch_triage_policy_refined": t.written("refined"),
-        },
-    )
+    datasets = {
+        "01_cases_norm": t.cases,
+        "02_cases_for_classify": t.cleaned,
+        "03_cases_text_quality": t.written("quality"),
+        "04_batch_ids": t.cohort,
+        "05_batch_case_summaries": t.written("summaries"),
+        "06_batch_triage_raw": t.written("triage"),
+        "07_policy_chunks": t.policies,
+        "08_policy_embeddings": t.written("policy_vectors"),
+        "09_case_query_embeddings": t.written(
+            "embedded", "queries", queries=F.count_if(F.col("summary").isNotNull())
+        ),
+        "10_batch_policy_matches": t.written("matched", "hits", hits=F.count_if("policy_matched")),
+    }
+    t.refine_todo = t.todo_of_matched
+    datasets["11_batch_triage_policy_refined"] = t.written("refined")
+    return reports.row_count_audit(t.spark, datasets)

@@ -263,3 +263,24 @@ def test_many_patterns_in_one_batch_keep_their_rows(spark):
     got = [r[0] for r in df.select(refine.alignment_flag(F.col("a"), F.col("t"), regex=True)).collect()]
     want = ["aligned" if a and t and re.search(t, a) else "review" for a, t in given]
     assert got == want
+
+
+def test_audit_embeds_each_text_once(spark, monkeypatch):
+    from caseweave.operators import embed
+    from caseweave.plans import bindings
+    from caseweave.plans.queries import QUERIES
+
+    made, searched = [], []
+    real, found = embed.hashed_vector, bindings.match.matched_rows
+    monkeypatch.setattr(embed.embed_cases, "__defaults__", (lambda text: made.append(text) or real(text),))
+    monkeypatch.setattr(bindings.match, "matched_rows", lambda *a, **k: searched.append(a) or found(*a, **k))
+    QUERIES["row_count_audit"](spark, "/root/testdata/sf0.001").collect()
+    assert len(made) == 1 and len(searched) == 1
+
+
+def test_open_rows_of_matched_are_those_that_are_matched_open(spark, rows):
+    from caseweave.plans.bindings import Bindings
+
+    t = Bindings(spark, "/root/testdata/sf0.001")
+    one, other = (rows(df.select(sorted(df.columns))) for df in (t.refine_todo, t.todo_of_matched))
+    assert one == other and len(one) > 100
