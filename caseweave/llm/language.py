@@ -31,7 +31,7 @@ MAX_LANGUAGES = 400
 #: The most frequent letters have codes of their own; the others share one.
 ALPHABET = 120
 SEGMENT = 1024
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 1 << 19
 UNDETERMINED = "und"
 RESULT = "lang string, score double, phrases_per_char double"
 

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -97,3 +99,13 @@ def test_too_many_labels_are_an_error(table, monkeypatch):
     monkeypatch.setattr(language, "MAX_LANGUAGES", 3)
     with pytest.raises(ValueError, match="more than 3"):
         fit(table([(i, "text", f"l{i}") for i in range(4)]))
+
+
+def test_many_texts_take_bounded_memory():
+    automata = build(SAMPLES)
+    texts = [ENGLISH * 20] * 2000  # as many as a batch has; 4 million characters
+    tracemalloc.start()
+    found = identify(automata, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(found["lang"]) == {"en"} and peak < 32 << 20
