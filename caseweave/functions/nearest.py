@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 # Distances closer than this are ties, broken by base id.
 DECIMALS = 9
 _CELLS = 1 << 21  # scores held at once per task: 16 MB of doubles
-_TOKENS = 1 << 18  # tokens counted at once
+_TOKENS = 1 << 19  # tokens counted at once: about those of a batch
 
 CANDIDATE = pa.struct(
     [("base_id", pa.string()), ("base_label", pa.string()), ("distance", pa.float64())]
